@@ -4,26 +4,30 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Character classes (control characters and blank; whitespace at the ends of a text).
-CONTROL_ENDS = r"^[\x00-\x20]+|[\x00-\x20]+$"
-WHITESPACE_ENDS = r"^\p{javaWhitespace}+|\p{javaWhitespace}+$"
+# Control characters up to the blank, and the characters that count as whitespace.
+CONTROLS = "".join(chr(c) for c in range(0x21))
+WHITESPACE = "".join(
+    chr(c)
+    for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x1680, *range(0x2000, 0x2007), *range(0x2008, 0x200B),
+              0x2028, 0x2029, 0x205F, 0x3000]
+)
 
 
 def control_trim(text: Column) -> Column:
     """Cut every character up to U+0020 from both ends."""
-    return F.regexp_replace(text, CONTROL_ENDS, "")
+    return F.btrim(text, F.lit(CONTROLS))
 
 
 def is_blank(text: Column) -> Column:
-    return text.rlike(r"^\p{javaWhitespace}*$")
+    return F.btrim(text, F.lit(WHITESPACE)) == ""
 
 
 def squeeze(text: Column) -> Column:
     """Strip both ends, then turn inner runs of whitespace into one blank; null stays null."""
-    return F.regexp_replace(F.regexp_replace(text, WHITESPACE_ENDS, ""), r"\s+", " ")
+    return F.regexp_replace(F.btrim(text, F.lit(WHITESPACE)), r"\s+", " ")
 
 
 def pad_trim(text: Column) -> Column:
@@ -116,6 +120,18 @@ def within_expectation(expected: Column, actual: Column) -> Column:
     return expected.isNull() | (expected == actual)
 
 
+def explode_findings(frame: DataFrame, candidates: list[Column], *keep: str) -> DataFrame:
+    """One row per candidate finding that is not null.
+
+    The candidates are filtered in a projection of their own, as one generated method holding them
+    all would be too large for the JIT compiler. The outer explode keeps Catalyst from inferring a
+    size filter, which would carry a second copy of every candidate down into the joins below.
+    """
+    present = F.filter(F.array(*candidates), lambda f: f.isNotNull())
+    found = frame.select(*keep, present.alias("found")).select(*keep, F.explode_outer("found").alias("f"))
+    return found.where(F.col("f").isNotNull()).select("f.*", *keep)
+
+
 def finding(subject: Column, rule: Column, severity: str, text: Column, expected: Column, actual: Column) -> Column:
     return F.struct(
         subject.cast("string").alias("subject"),

@@ -63,18 +63,28 @@ def normalize_errors(rows: DataFrame) -> DataFrame:
     )
 
 
-def index_transactions(rows: DataFrame) -> DataFrame:
+def index_transactions(rows: DataFrame, *outer: str) -> DataFrame:
     """Normalised rows with their place by account and amount; ties go by direction and text."""
     return positional_index(
-        normalize_transactions(rows), [KEY], ["account_id", "amount_cents", "direction", "description"], ["ref"]
+        normalize_transactions(rows), [*outer, KEY],
+        ["account_id", "amount_cents", "direction", "description"], ["ref"],
     )
 
 
-def index_errors(rows: DataFrame) -> DataFrame:
-    message = F.coalesce("error_message", F.lit(""))
-    return positional_index(
-        normalize_errors(rows).withColumn("_by", message), [KEY], ["_by"], ["record_ref"]
-    ).drop("_by")
+def index_errors(rows: DataFrame, *outer: str) -> DataFrame:
+    """Normalised messages with their place in message order, an absent message first."""
+    keyed = normalize_errors(rows).withColumn("_by", F.coalesce("error_message", F.lit("")))
+    return positional_index(keyed, [*outer, KEY], ["_by"], ["record_ref"]).drop("_by")
+
+
+def _both_sides(actual: DataFrame, baseline: DataFrame, columns: list[str]) -> DataFrame:
+    """Both lists in one frame, so that one sorted layout serves them."""
+    parts = [f.select(KEY, *columns, F.lit(side).alias("side")) for f, side in ((actual, "a"), (baseline, "b"))]
+    return parts[0].unionByName(parts[1])
+
+
+def _side(indexed: DataFrame, side: str, columns: list[str]) -> DataFrame:
+    return indexed.where(F.col("side") == side).select(KEY, "idx", F.struct(*columns).alias(side))
 
 
 def _entry(field: Column, expected: Column, actual: Column, equal: Column) -> Column:
@@ -101,14 +111,13 @@ def compare_fields(actual: Outputs, baseline: Outputs) -> DataFrame:
     ])).alias("e"))
 
     level = both.where(F.col("b.posted_count") == F.col("a.posted_count")).select(KEY)
-    payload = [c for _, c in TRANSACTION_FIELDS]
-    wanted = index_transactions(in_scope(baseline.transactions, level, KEY)).select(
-        KEY, "idx", F.struct(*payload).alias("b")
-    )
-    given = index_transactions(in_scope(actual.transactions, level, KEY)).select(
-        KEY, "idx", F.struct(*payload).alias("a")
+    listed = _both_sides(
+        actual.transactions, baseline.transactions,
+        ["account_id", "amount_cents", "direction", "description", "ref"],
     )
-    pairs = wanted.join(given, [KEY, "idx"], "left")
+    ranked = index_transactions(in_scope(listed, level, KEY), "side")
+    payload = [c for _, c in TRANSACTION_FIELDS]
+    pairs = _side(ranked, "b", payload).join(_side(ranked, "a", payload), [KEY, "idx"], "left")
     prefix = F.concat(F.lit("transactions["), F.col("idx").cast("string"), F.lit("]."))
     rows = pairs.select(KEY, F.explode(F.array(*[
         _entry(F.concat(prefix, F.lit(field)), F.col(f"b.{c}"), F.col(f"a.{c}"),
@@ -116,13 +125,12 @@ def compare_fields(actual: Outputs, baseline: Outputs) -> DataFrame:
         for field, c in TRANSACTION_FIELDS
     ])).alias("e"))
 
-    wanted_errors = index_errors(baseline.errors).select(KEY, "idx", F.col("error_message").alias("b"))
-    given_errors = index_errors(actual.errors).select(KEY, "idx", F.col("error_message").alias("a"))
-    message = F.concat(F.lit("errors["), F.col("idx").cast("string"), F.lit("].errorMessage"))
-    texts = wanted_errors.join(given_errors, [KEY, "idx"]).select(
-        KEY, _entry(message, F.col("b"), F.col("a"), F.col("b").eqNullSafe(F.col("a"))).alias("e")
-    )
-    return scalars.unionByName(rows).unionByName(texts).select(KEY, "e.*")
+    texts = index_errors(_both_sides(actual.errors, baseline.errors, ["error_message", "record_ref"]), "side")
+    paired = _side(texts, "b", ["error_message"]).join(_side(texts, "a", ["error_message"]), [KEY, "idx"])
+    label = F.concat(F.lit("errors["), F.col("idx").cast("string"), F.lit("].errorMessage"))
+    want, got = F.col("b.error_message"), F.col("a.error_message")
+    messages = paired.select(KEY, _entry(label, want, got, want.eqNullSafe(got)).alias("e"))
+    return scalars.unionByName(rows).unionByName(messages).select(KEY, "e.*")
 
 
 def _covers(approval: str) -> Column:

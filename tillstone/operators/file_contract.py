@@ -6,16 +6,31 @@ import json
 import re
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.functions.scalars import control_trim, finding, is_blank, strict_date, strict_int, worst
+from tillstone.functions.scalars import (
+    control_trim,
+    explode_findings,
+    finding,
+    is_blank,
+    strict_date,
+    strict_int,
+    worst,
+)
 from tillstone.model import CONTRACT_SEVERITIES, INBOUND_CONTRACT, RULE_SUFFIX
 from tillstone.operators.lookups import lookup_join
+from tillstone.session import cut_lineage
 from tillstone.sources.inbound import LineBlocks, list_files, number_lines, read_line_blocks
+Check = tuple[Column, Column]
 
-_SHAPE = "subject STRING, rule_id STRING, severity STRING, description STRING, expected STRING, actual STRING"
+
+class Cell(NamedTuple):
+    text: Column
+    blank: Column
+    parsed: Column
 
 
 def _say(*parts: str | Column) -> Column:
@@ -38,12 +53,6 @@ def _rule(contract: dict, kind: str, column: str) -> Column:
     return F.lit(f"{contract['contractId']}-{kind}-{RULE_SUFFIX.get(column, column.upper())}")
 
 
-def _explode(frame: DataFrame, candidates: list[Column], *keep: str) -> DataFrame:
-    present = F.filter(F.array(*[c.cast(f"struct<{_SHAPE.replace(' STRING', ':string')}>") for c in candidates]),
-                       lambda x: x.isNotNull())
-    return frame.select(*keep, F.explode(present).alias("f")).select("f.*", *keep)
-
-
 def header_layout(header: Column, contract: dict = INBOUND_CONTRACT) -> Column:
     """Header width and the place of each contracted column; null when data rows are not to be checked."""
     heads = _cells(control_trim(header), contract)
@@ -96,55 +105,65 @@ def header_findings(heads: DataFrame, contract: dict = INBOUND_CONTRACT) -> Data
         _say("Unexpected column in header: '", F.col("name"), "' — not in contract definition"),
         F.lit("columns: [" + ", ".join(names) + "]"), _say("extra column: ", F.col("name"))).alias("f")
     ).select("f.*")
-    return _explode(checked, found).unionByName(extra)
+    return explode_findings(checked, found).unionByName(extra)
+
 
+def _parsed(column: dict, value: Column) -> Column:
+    """The typed value of a cell, null when it does not parse."""
+    kind = str(column.get("type", "")).upper()
+    if kind == "INTEGER":
+        return strict_int(value)
+    if kind == "DATE" and column.get("format", "YYYY-MM-DD") == "YYYY-MM-DD":
+        return strict_date(value)
+    return value
 
-def _integer_checks(contract: dict, column: dict, value: Column, row: Column, subject: Column) -> list[Column]:
-    name, number = column["name"], strict_int(value)
-    checks = [F.when(number.isNull(), finding(
+
+def _integer_checks(contract: dict, column: dict, cell: Cell, row: Column, subject: Column) -> list[Check]:
+    name = column["name"]
+    checks = [(cell.parsed.isNull(), finding(
         subject, _rule(contract, "TYPE", name), "FAIL",
-        _say(f"{name} is not a valid integer in row ", row, ": '", value, "'"),
-        F.lit("type: INTEGER"), _say("row ", row, " value: ", value)))]
+        _say(f"{name} is not a valid integer in row ", row, ": '", cell.text, "'"),
+        F.lit("type: INTEGER"), _say("row ", row, " value: ", cell.text)))]
     limits = column.get("constraints") or {}
     if "minimum" in limits:
         least = limits["minimum"]
         whole = isinstance(least, int) and not isinstance(least, bool) and -2**31 <= least < 2**31
         if whole:
-            checks.append(F.when(number < least, finding(
+            checks.append((cell.parsed < least, finding(
                 subject, _rule(contract, "MIN", name), "FAIL",
-                _say(f"{name} is below the minimum value in row ", row, ": '", value, "'"),
-                F.lit(f"minimum: {least}"), _say("row ", row, " value: ", number))))
+                _say(f"{name} is below the minimum value in row ", row, ": '", cell.text, "'"),
+                F.lit(f"minimum: {least}"), _say("row ", row, " value: ", cell.parsed))))
         else:
             shown = json.dumps(least)
-            checks.append(F.when(number.isNotNull(), finding(
+            checks.append((cell.parsed.isNotNull(), finding(
                 subject, _rule(contract, "SETUP", name), "FAIL",
                 F.lit(f"Contract metadata for {name} has a non-integer 'minimum' constraint: {shown}"),
                 F.lit("integer minimum constraint"), F.lit(f"minimum: {shown}"))))
     return checks
 
 
-def _date_checks(contract: dict, column: dict, value: Column, row: Column, subject: Column) -> list[Column]:
+def _date_checks(contract: dict, column: dict, cell: Cell, row: Column, subject: Column) -> list[Check]:
     name, style = column["name"], column.get("format", "YYYY-MM-DD")
     if style != "YYYY-MM-DD":
-        return [finding(
+        return [(F.lit(True), finding(
             subject, _rule(contract, "SETUP", name), "FAIL",
             F.lit(f"Unsupported date format in contract for {name}: {style}"),
-            F.lit("supported format metadata"), F.lit(style))]
-    return [F.when(strict_date(value).isNull(), finding(
+            F.lit("supported format metadata"), F.lit(style)))]
+    return [(cell.parsed.isNull(), finding(
         subject, _rule(contract, "TYPE", name), "FAIL",
-        _say(f"{name} is not in {style} format in row ", row, ": '", value, "'"),
-        F.lit(f"format: {style}"), _say("row ", row, " value: ", value)))]
+        _say(f"{name} is not in {style} format in row ", row, ": '", cell.text, "'"),
+        F.lit(f"format: {style}"), _say("row ", row, " value: ", cell.text)))]
 
 
-def _text_checks(contract: dict, column: dict, value: Column, row: Column, subject: Column) -> list[Column]:
+def _text_checks(contract: dict, column: dict, cell: Cell, row: Column, subject: Column) -> list[Check]:
     name, allowed = column["name"], [str(a) for a in column.get("allowedValues") or []]
     if not allowed:
         return []
     shown = json.dumps(column["allowedValues"], separators=(",", ":"), ensure_ascii=False)
-    return [F.when(~value.isin(allowed), finding(
+    return [(~cell.text.isin(allowed), finding(
         subject, _rule(contract, "ALLOWED", name), "FAIL",
-        _say(f"{name} is not one of the allowed values in row ", row, ": '", value, "'"),
-        F.lit(f"allowed values: {shown}"), _say("row ", row, " value: ", value)))]
+        _say(f"{name} is not one of the allowed values in row ", row, ": '", cell.text, "'"),
+        F.lit(f"allowed values: {shown}"), _say("row ", row, " value: ", cell.text)))]
 
 
 _CELL_CHECKS = {"INTEGER": _integer_checks, "DATE": _date_checks, "STRING": _text_checks}
@@ -153,27 +172,39 @@ _CELL_CHECKS = {"INTEGER": _integer_checks, "DATE": _date_checks, "STRING": _tex
 def row_findings(lines: DataFrame, contract: dict = INBOUND_CONTRACT) -> DataFrame:
     """Findings on data rows; `lines` has file, row_no, value and layout (from header_layout)."""
     ident, subject, row = contract["contractId"], F.col("file"), F.col("row_no")
-    data = lines.where((row > 1) & F.col("layout").isNotNull() & ~is_blank(control_trim(F.col("value")))).select(
-        "file", "row_no", "layout", _cells(F.col("value"), contract).alias("cells")
+    # A blank line has no cells, and no check fires on it. It is not filtered out, since Catalyst
+    # would then compute `value` once more below.
+    blank_line = is_blank(control_trim(F.col("value")))
+    cells = F.when(~blank_line, F.split("value", re.escape(_delimiter(contract))))
+    data = lines.where((row > 1) & F.col("layout").isNotNull()).select(
+        "file", "row_no", "layout", cells.alias("cells")
+    )
+    columns = contract["columns"]
+    # A cell beyond a short row is null, and then no check applies.
+    cut = data.select(
+        "file", "row_no", F.col("layout.width").alias("wanted"), F.size("cells").alias("width"),
+        *[control_trim(F.get("cells", F.col("layout.places")[at])).alias(f"c{at}") for at in range(len(columns))],
     )
-    width, wanted = F.size("cells"), F.col("layout.width")
-    found = [F.when(width < wanted, finding(
+    typed = cut.select(
+        "*",
+        *[is_blank(F.col(f"c{at}")).alias(f"blank{at}") for at in range(len(columns))],
+        *[_parsed(column, F.col(f"c{at}")).alias(f"p{at}") for at, column in enumerate(columns)],
+    )
+    found = [F.when(F.col("width") < F.col("wanted"), finding(
         subject, F.lit(f"{ident}-ROW-SHORT"), "FAIL", _say("Row ", row, " has fewer columns than header"),
-        _say("column count: ", wanted), _say("row ", row, " column count: ", width)))]
-    for at, column in enumerate(contract["columns"]):
-        value = F.get("cells", F.col("layout.places")[at])
-        blank = is_blank(value)
+        _say("column count: ", F.col("wanted")), _say("row ", row, " column count: ", F.col("width"))))]
+    for at, column in enumerate(columns):
+        cell = Cell(F.col(f"c{at}"), F.col(f"blank{at}"), F.col(f"p{at}"))
         if not column.get("nullable", False):
-            found.append(F.when(blank, finding(
+            found.append(F.when(cell.blank, finding(
                 subject, _rule(contract, "NULL", column["name"]), "FAIL",
                 _say(f"{column['name']} must not be blank in row ", row),
                 F.lit("non-blank value"), _say("row ", row, ": blank"))))
         checks = _CELL_CHECKS.get(str(column.get("type", "")).upper())
         if checks:
-            # A cell beyond a short row is null, and then no check applies.
-            found += [F.when(value.isNotNull() & ~blank, c)
-                      for c in checks(contract, column, value, row, subject)]
-    return _explode(data, found, "row_no")
+            found += [F.when(~cell.blank & broken, entry)
+                      for broken, entry in checks(contract, column, cell, row, subject)]
+    return explode_findings(typed, found, "row_no")
 
 
 def lines_of_content(contents: DataFrame, contract: dict = INBOUND_CONTRACT) -> DataFrame:
@@ -194,10 +225,9 @@ def heads_of_content(contents: DataFrame) -> DataFrame:
 
 def heads_of_lines(lines: DataFrame) -> DataFrame:
     """Header per file of lines that are already numbered (file, row_no, value)."""
-    return lines.groupBy("file").agg(
-        F.max(F.when(F.col("row_no") == 1, F.col("value"))).alias("header"),
-        F.max(~is_blank(F.col("value"))).alias("has_text"),
-    )
+    opening = lines.where(F.col("row_no") == 1).select("file", F.col("value").alias("header"))
+    filled = lines.groupBy("file").agg(F.max(~is_blank(F.col("value"))).alias("has_text"))
+    return filled.join(opening, "file", "left")
 
 
 def with_row_no(findings: DataFrame) -> DataFrame:
@@ -215,7 +245,8 @@ def check_contents(contents: DataFrame, contract: dict = INBOUND_CONTRACT) -> Da
 
 def check_lines(lines: DataFrame, contract: dict = INBOUND_CONTRACT) -> DataFrame:
     """Findings for files held as numbered lines (file, row_no, value)."""
-    heads = heads_of_lines(lines)
+    # One row per file, used for the header checks and for reading the rows.
+    heads = cut_lineage(heads_of_lines(lines))
     layouts = heads.select("file", header_layout(F.col("header"), contract).alias("layout"))
     return _all_findings(heads, lookup_join(lines, layouts, "file"), contract)
 

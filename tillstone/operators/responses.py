@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.functions.scalars import finding, is_blank, is_json_document, media_type, worst
+from tillstone.functions.scalars import explode_findings, finding, is_blank, is_json_document, media_type, worst
 from tillstone.model import CONTRACT_SEVERITIES, RESPONSE_SCENARIOS
 from tillstone.operators.lookups import lookup_join
 
@@ -73,10 +73,7 @@ def check_responses(responses: DataFrame, scenarios: DataFrame) -> DataFrame:
               F.lit("content-type: text/plain, non-JSON body"),
               F.concat(F.lit("body parses as JSON: "), body)),
     ]
-    present = F.filter(F.array(*found), lambda x: x.isNotNull())
-    return joined.select("contract_id", "scenario", F.explode(present).alias("f")).select(
-        "f.*", "contract_id", "scenario"
-    )
+    return explode_findings(joined, found, "contract_id", "scenario")
 
 
 def response_status(responses: DataFrame, findings: DataFrame) -> DataFrame:

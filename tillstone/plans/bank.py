@@ -6,7 +6,7 @@ from attributes of the orders, so they grow with the data and hit every table as
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,21 +18,35 @@ from tillstone.operators.reconciliation import Outputs, collect_outputs, reconci
 from tillstone.operators.validation import reject_log, standard_rules, validate
 from tillstone.sources.documents import with_approval_defaults
 
+# Schemas of the supplied tables; naming them saves a look into the files before every query.
+SOURCES = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
 EPOCH = "2024-01-01 00:00:00"
 
 
 class Bank:
-    """Views over one data folder; every method returns a lazy frame."""
+    """Views over one data folder; every method returns a lazy frame, built once per instance."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
+    @cache
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SOURCES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # -- reference tables -------------------------------------------------------------------
 
+    @cache
     def customers(self) -> DataFrame:
         return self.source("customer").select(
             (F.col("c_custkey") + 1001).alias("customer_id"),
@@ -41,6 +55,7 @@ class Bank:
             F.lit(EPOCH).cast("timestamp").alias("created_at"),
         )
 
+    @cache
     def accounts(self) -> DataFrame:
         """Customers of nation 7 hold no account, so their orders name an unknown one."""
         balance, segment = F.col("c_acctbal"), F.col("c_mktsegment")
@@ -56,6 +71,7 @@ class Bank:
             F.round(balance * 100).cast("int").alias("credit_limit_cents"),
         )
 
+    @cache
     def merchants(self) -> DataFrame:
         """Suppliers of nation 15 are not registered, so rows naming them are orphans."""
         nations = self.source("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
@@ -68,22 +84,28 @@ class Bank:
 
     # -- transactions -----------------------------------------------------------------------
 
+    @cache
     def staged(self) -> DataFrame:
         """One row per order; a batch is a month, a dataset a month and a priority."""
         return stage_orders(self.source("orders"))
 
+    @cache
     def outcomes(self) -> DataFrame:
         return validate(self.staged(), self.accounts())
 
+    @cache
     def staged_table(self) -> DataFrame:
         return mark_posted(self.outcomes())
 
+    @cache
     def errors(self) -> DataFrame:
         return reject_log(self.outcomes(), F.col("batch_id") * 10 + 1)
 
+    @cache
     def ledger(self) -> DataFrame:
         return post(self.outcomes())
 
+    @cache
     def faulty_ledger(self) -> DataFrame:
         """The ledger after a lost day, a wrong cent on large rows and a day posted twice."""
         rows = self.outcomes().where(F.col("status") == "validated")
@@ -97,6 +119,7 @@ class Bank:
 
     # -- control tables ---------------------------------------------------------------------
 
+    @cache
     def batches(self) -> DataFrame:
         return self.staged().groupBy("batch_id").agg(F.count("*").alias("record_count")).select(
             F.col("batch_id").alias("id"),
@@ -106,6 +129,7 @@ class Bank:
             F.lit("received").alias("status"),
         )
 
+    @cache
     def jobs(self) -> DataFrame:
         """Three jobs per month; posting is still running for the last year."""
         per_batch = self.staged().groupBy("batch_id").agg(
@@ -127,9 +151,11 @@ class Bank:
             job(2, POST_JOB, F.when(running, "running").otherwise(done), F.when(~running, F.col("last"))),
         )).alias("j")).select("j.*")
 
+    @cache
     def reconciliations(self) -> DataFrame:
         return reconcile(self.staged_table(), self.faulty_ledger())
 
+    @cache
     def tampered_reconciliations(self) -> DataFrame:
         """Reconciliation rows altered after the fact, month by month."""
         month = F.pmod("batch_id", F.lit(100))
@@ -143,10 +169,12 @@ class Bank:
 
     # -- baseline ---------------------------------------------------------------------------
 
+    @cache
     def outputs(self) -> Outputs:
         staged = self.staged_table()
         return collect_outputs(staged, self.ledger(), self.errors())
 
+    @cache
     def legacy_outcomes(self) -> DataFrame:
         """The legacy rules take lower-case codes; medium-priority amounts lose their last digit."""
         cents = F.col("amount_cents")
@@ -155,6 +183,7 @@ class Bank:
         judged = validate(rows, self.accounts(), standard_rules(fold_direction=True))
         return judged.withColumn("direction", F.upper("direction"))
 
+    @cache
     def legacy_outputs(self) -> Outputs:
         judged = self.legacy_outcomes()
         ledger = post(judged).withColumn(
@@ -168,6 +197,7 @@ class Bank:
         )
         return collect_outputs(mark_posted(judged), ledger, errors)
 
+    @cache
     def approvals(self) -> DataFrame:
         """Reviewed differences of every dataset, some signed and some not."""
         datasets = self.staged().select("dataset_id").distinct()
@@ -193,6 +223,7 @@ class Bank:
 
     # -- files and responses ----------------------------------------------------------------
 
+    @cache
     def file_lines(self) -> DataFrame:
         """The months as delimited files (file, row_no, value), each with its own header."""
         rows = self.staged().select(
@@ -205,6 +236,7 @@ class Bank:
         )
         return heads.unionByName(rows)
 
+    @cache
     def responses(self) -> DataFrame:
         """A response log: one entry per event, and one per conversation turn."""
         kind, value = F.col("event_type"), F.col("value")
@@ -235,6 +267,7 @@ class Bank:
 
     # -- replays ----------------------------------------------------------------------------
 
+    @cache
     def replay_runs(self) -> DataFrame:
         """Years as scenarios, months as runs."""
         return self.staged().select("batch_id").distinct().select(
@@ -242,6 +275,7 @@ class Bank:
             F.pmod("batch_id", F.lit(100)).alias("run_number"), "batch_id",
         )
 
+    @cache
     def expectations(self) -> DataFrame:
         """What the legacy rules would have left behind in each year."""
         judged = self.legacy_outcomes().withColumn("scenario_id", scenario_of(F.col("batch_id")))
@@ -276,6 +310,7 @@ class Bank:
             ).alias("expectedAfterBothRuns"),
         )
 
+    @cache
     def tables(self) -> dict[str, DataFrame]:
         return {
             "customers": self.customers(),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tillstone.plans.catalog import RUN_SINCE, TIGHT_LIMIT
 
 # Whitespace characters that are cut from the ends of a text.
@@ -23,24 +25,25 @@ def message(direction: str) -> str:
         CASE WHEN a.status <> 'active' THEN 'account is not active; ' ELSE '' END)"""
 
 
-VIEWS = f"""
-WITH b_customers AS (
+# The bank tables and findings as SQL; each entry may use the ones above it.
+VIEWS: dict[str, str] = {
+    "b_customers": """
   SELECT c_custkey + 1001 AS customer_id, c_name AS full_name,
          CASE WHEN c_nationkey <> 3 THEN lower(c_name) || '@example.com' END AS email,
          TIMESTAMP '2024-01-01' AS created_at
-  FROM customer),
-b_accounts AS (
+  FROM customer""",
+    "b_accounts": """
   SELECT c_custkey + 2001 AS account_id, c_custkey + 1001 AS customer_id,
          CASE WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN 'checking'
               WHEN c_mktsegment = 'AUTOMOBILE' THEN 'savings'
               WHEN c_mktsegment = 'MACHINERY' THEN 'credit' ELSE 'other' END AS account_type,
          CASE WHEN c_acctbal < -500 THEN 'closed' WHEN c_acctbal < 0 THEN 'frozen' ELSE 'active' END AS status,
          DATE '2024-01-01' AS opened_at, CAST(round(c_acctbal * 100) AS INTEGER) AS credit_limit_cents
-  FROM customer WHERE c_nationkey <> 7),
-b_merchants AS (
+  FROM customer WHERE c_nationkey <> 7""",
+    "b_merchants": """
   SELECT s_suppkey + 3001 AS merchant_id, s_name AS name, n_name AS category, TIMESTAMP '2024-01-01' AS created_at
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_nationkey <> 15),
-b_staged AS (
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_nationkey <> 15""",
+    "b_staged": """
   SELECT o_orderkey AS id,
          CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS batch_id,
          concat(year(o_orderdate) * 100 + month(o_orderdate), '/', o_orderpriority) AS dataset_id,
@@ -51,25 +54,25 @@ b_staged AS (
               ELSE 'D' END AS direction,
          CAST(round(o_totalprice * 100) AS INTEGER) - 500000 AS amount_cents,
          CAST(o_orderdate AS DATE) AS txn_date
-  FROM orders),
-b_judged AS (
+  FROM orders""",
+    "b_judged": f"""
   SELECT s.*, {message("s.direction")} AS message
-  FROM b_staged s LEFT JOIN b_accounts a USING (account_id)),
-b_outcomes AS (
+  FROM b_staged s LEFT JOIN b_accounts a USING (account_id)""",
+    "b_outcomes": """
   SELECT * EXCLUDE (message), CASE WHEN message = '' THEN 'validated' ELSE 'rejected' END AS status,
          nullif(message, '') AS error_message
-  FROM b_judged),
-b_table AS (
-  SELECT * REPLACE (CASE WHEN status = 'validated' THEN 'posted' ELSE status END AS status) FROM b_outcomes),
-b_errors AS (
+  FROM b_judged""",
+    "b_table": """
+  SELECT * REPLACE (CASE WHEN status = 'validated' THEN 'posted' ELSE status END AS status) FROM b_outcomes""",
+    "b_errors": """
   SELECT batch_id * 10 + 1 AS batch_job_id, batch_id, error_message,
          concat('staged_transactions.id=', id) AS record_ref, dataset_id
-  FROM b_outcomes WHERE status = 'rejected'),
-b_ledger AS (
+  FROM b_outcomes WHERE status = 'rejected'""",
+    "b_ledger": """
   SELECT id AS txn_id, account_id, merchant_id, direction, amount_cents, 'posted' AS status,
          'Batch posted' AS description, batch_id, dataset_id
-  FROM b_outcomes WHERE status = 'validated'),
-b_faulty AS (
+  FROM b_outcomes WHERE status = 'validated'""",
+    "b_faulty": """
   SELECT id AS txn_id, account_id, merchant_id, direction,
          CASE WHEN merchant_id = 3004 AND amount_cents > 45000000 THEN amount_cents + 1
               ELSE amount_cents END AS amount_cents,
@@ -77,70 +80,70 @@ b_faulty AS (
   FROM b_outcomes,
        (VALUES (1), (2)) AS c(copy)
   WHERE status = 'validated' AND NOT (month(txn_date) = 3 AND day(txn_date) = 15)
-    AND (copy = 1 OR (month(txn_date) = 7 AND day(txn_date) = 4))),
-b_batches AS (
+    AND (copy = 1 OR (month(txn_date) = 7 AND day(txn_date) = 4))""",
+    "b_batches": """
   SELECT batch_id AS id, batch_id * 10 AS batch_job_id, concat('ach_', batch_id, '.csv') AS file_name,
          count(*) AS record_count, 'received' AS status
-  FROM b_staged GROUP BY batch_id),
-b_jobs AS (
+  FROM b_staged GROUP BY batch_id""",
+    "b_jobs": """
   SELECT batch_id * 10 + off AS id, job_name,
          CASE WHEN off = 2 AND batch_id >= 200101 THEN 'running' ELSE 'completed' END AS status,
          CAST(first AS TIMESTAMP) AS started_at,
          CASE WHEN off = 2 AND batch_id >= 200101 THEN NULL ELSE CAST(last AS TIMESTAMP) END AS finished_at,
          n AS record_count
   FROM (SELECT batch_id, count(*) AS n, min(txn_date) AS first, max(txn_date) AS last FROM b_staged GROUP BY 1),
-       (VALUES (0, 'load_transactions'), (1, 'validate_transactions'), (2, 'post_transactions')) j(off, job_name)),
-b_sides AS (
+       (VALUES (0, 'load_transactions'), (1, 'validate_transactions'), (2, 'post_transactions')) j(off, job_name)""",
+    "b_sides": """
   SELECT st.batch_id, st.n AS staged_count, coalesce(l.n, 0) AS posted_count, st.total AS staged_total_cents,
          coalesce(l.total, 0) AS posted_total_cents
   FROM (SELECT batch_id, count(*) AS n, CAST(sum(amount_cents) AS BIGINT) AS total
         FROM b_table WHERE status = 'posted' GROUP BY 1) st
   LEFT JOIN (SELECT batch_id, count(*) AS n, CAST(sum(amount_cents) AS BIGINT) AS total
-             FROM b_faulty GROUP BY 1) l USING (batch_id)),
-b_recon AS (
+             FROM b_faulty GROUP BY 1) l USING (batch_id)""",
+    "b_recon": """
   SELECT *, staged_count = posted_count AS counts_match, staged_total_cents = posted_total_cents AS totals_match
-  FROM b_sides),
-b_tampered AS (
+  FROM b_sides""",
+    "b_tampered": """
   SELECT batch_id, staged_count + CASE WHEN batch_id % 100 = 9 THEN 1 ELSE 0 END AS staged_count,
          CASE WHEN batch_id % 100 = 12 THEN -1 ELSE posted_count END AS posted_count,
          staged_total_cents + CASE WHEN batch_id % 100 = 5 THEN 1 ELSE 0 END AS staged_total_cents,
          posted_total_cents, counts_match, totals_match
-  FROM b_recon, (VALUES (1), (2)) c(copy) WHERE copy = 1 OR batch_id % 100 = 7),
-b_legacy AS (
+  FROM b_recon, (VALUES (1), (2)) c(copy) WHERE copy = 1 OR batch_id % 100 = 7""",
+    "b_legacy": f"""
   SELECT s.* REPLACE (upper(s.direction) AS direction), {message("upper(s.direction)")} AS message
   FROM (SELECT * REPLACE (CASE WHEN ends_with(dataset_id, '3-MEDIUM')
                                THEN amount_cents - ((amount_cents % 10) + 10) % 10
                                ELSE amount_cents END AS amount_cents) FROM b_staged) s
-  LEFT JOIN b_accounts a USING (account_id)),
-b_actual_metrics AS (
+  LEFT JOIN b_accounts a USING (account_id)""",
+    "b_actual_metrics": """
   SELECT dataset_id, count(*) AS staged_count, count(*) FILTER (error_message IS NULL) AS posted_count,
          count(*) FILTER (error_message IS NOT NULL) AS rejected_count,
          count(*) FILTER (error_message IS NOT NULL) AS error_count,
          CAST(coalesce(sum(amount_cents) FILTER (error_message IS NULL), 0) AS BIGINT) AS total_posted_cents
-  FROM b_outcomes GROUP BY 1),
-b_legacy_metrics AS (
+  FROM b_outcomes GROUP BY 1""",
+    "b_legacy_metrics": """
   SELECT dataset_id, count(*) AS staged_count, count(*) FILTER (message = '') AS posted_count,
          count(*) FILTER (message <> '') AS rejected_count, count(*) FILTER (message <> '') AS error_count,
          CAST(coalesce(sum(amount_cents) FILTER (message = ''), 0) AS BIGINT) AS total_posted_cents
-  FROM b_legacy GROUP BY 1),
-b_legacy_rows AS (
+  FROM b_legacy GROUP BY 1""",
+    "b_legacy_rows": """
   SELECT dataset_id, account_id, merchant_id, direction, CAST(amount_cents AS BIGINT) AS amount_cents,
          'Batch posted' AS description, CAST(id AS VARCHAR) AS ref,
          row_number() OVER (PARTITION BY dataset_id ORDER BY account_id, amount_cents, direction) - 1 AS idx
-  FROM b_legacy WHERE message = ''),
-b_actual_rows AS (
+  FROM b_legacy WHERE message = ''""",
+    "b_actual_rows": """
   SELECT dataset_id, direction, amount_cents, 'Batch posted' AS description,
          row_number() OVER (PARTITION BY dataset_id ORDER BY account_id, amount_cents, direction) - 1 AS idx
-  FROM b_ledger),
-b_legacy_texts AS (
+  FROM b_ledger""",
+    "b_legacy_texts": """
   SELECT dataset_id, text, row_number() OVER (PARTITION BY dataset_id ORDER BY text) - 1 AS idx
   FROM (SELECT dataset_id, CASE WHEN message = 'account is not active; ' THEN 'ERR_ACCT_INACTIVE'
-                                ELSE trim(message) END AS text FROM b_legacy WHERE message <> '')),
-b_actual_texts AS (
+                                ELSE trim(message) END AS text FROM b_legacy WHERE message <> '')""",
+    "b_actual_texts": """
   SELECT dataset_id, trim(error_message) AS text,
          row_number() OVER (PARTITION BY dataset_id ORDER BY trim(error_message)) - 1 AS idx
-  FROM b_errors),
-b_compared AS (
+  FROM b_errors""",
+    "b_compared": f"""
   SELECT dataset_id, f.field, CAST(f.e AS VARCHAR) AS expected, CAST(f.a AS VARCHAR) AS actual, f.e = f.a AS equal
   FROM (SELECT b.dataset_id, unnest([
           {{'field': 'stagedCount', 'e': b.staged_count, 'a': a.staged_count}},
@@ -161,8 +164,8 @@ b_compared AS (
         WHERE bm.posted_count = am.posted_count)
   UNION ALL
   SELECT b.dataset_id, concat('errors[', b.idx, '].errorMessage'), b.text, a.text, b.text = a.text
-  FROM b_legacy_texts b JOIN b_actual_texts a USING (dataset_id, idx)),
-b_approvals AS (
+  FROM b_legacy_texts b JOIN b_actual_texts a USING (dataset_id, idx)""",
+    "b_approvals": """
   SELECT dataset_id, ord, field, ev, av,
          CASE WHEN signer = 'late' THEN CASE WHEN dataset_id >= '199801' THEN 'a.reviewer' ELSE ' ' END
               ELSE signer END AS signer
@@ -170,8 +173,8 @@ b_approvals AS (
        (VALUES (1, 'postedCount', '', '', 'late'),
                (2, 'errors[0].errorMessage', 'ERR_ACCT_INACTIVE', 'account is not active', 'b.reviewer'),
                (3, 'totalPostedCents', '0', '', ''),
-               (4, 'totalPostedCents', '', '', 'b.reviewer')) e(ord, field, ev, av, signer)),
-b_classified AS (
+               (4, 'totalPostedCents', '', '', 'b.reviewer')) e(ord, field, ev, av, signer)""",
+    "b_classified": """
   SELECT c.dataset_id, c.field, c.expected, c.actual,
          CASE WHEN ap.ord IS NULL THEN 'FAIL' WHEN trim(ap.signer) <> '' THEN 'APPROVED_DIFFERENCE'
               ELSE 'WARNING' END AS classification,
@@ -180,8 +183,8 @@ b_classified AS (
   LEFT JOIN b_approvals ap ON ap.dataset_id = c.dataset_id AND ap.field = c.field
         AND (c.expected IS NULL OR contains(c.expected, ap.ev)) AND (c.actual IS NULL OR contains(c.actual, ap.av))
   WHERE NOT c.equal
-  QUALIFY row_number() OVER (PARTITION BY c.dataset_id, c.field ORDER BY ap.ord NULLS LAST) = 1),
-b_results AS (
+  QUALIFY row_number() OVER (PARTITION BY c.dataset_id, c.field ORDER BY ap.ord NULLS LAST) = 1""",
+    "b_results": """
   SELECT p.dataset_id,
          CASE WHEN coalesce(f.fail_count, 0) > 0 THEN 'FAIL' WHEN coalesce(f.warning_count, 0) > 0 THEN 'WARNING'
               WHEN coalesce(f.approved_count, 0) > 0 THEN 'APPROVED_DIFFERENCE' ELSE 'PASS' END AS overall_status,
@@ -191,8 +194,8 @@ b_results AS (
   LEFT JOIN (SELECT dataset_id, count(*) FILTER (classification = 'WARNING') AS warning_count,
                     count(*) FILTER (classification = 'FAIL') AS fail_count,
                     count(*) FILTER (classification = 'APPROVED_DIFFERENCE') AS approved_count
-             FROM b_classified GROUP BY 1) f USING (dataset_id)),
-b_file_cells AS (
+             FROM b_classified GROUP BY 1) f USING (dataset_id)""",
+    "b_file_cells": """
   SELECT concat('ach_', batch_id, '.csv') AS file, batch_id % 100 AS month, id + 2 AS row_no, amount_cents, direction,
          CASE WHEN amount_cents > 49400000 THEN '' ELSE CAST(account_id AS VARCHAR) END AS account,
          CASE WHEN merchant_id = 3006 AND amount_cents < 1000000 THEN 'abc'
@@ -201,10 +204,12 @@ b_file_cells AS (
               ELSE CAST(amount_cents AS VARCHAR) END AS amount,
          CASE WHEN merchant_id = 3003 AND direction = 'D' THEN strftime(txn_date, '%m/%d/%Y')
               ELSE strftime(txn_date, '%Y-%m-%d') END AS day
-  FROM b_staged),
-b_file_checked AS (SELECT * FROM b_file_cells WHERE month NOT IN (2, 8, 10)),
-b_files AS (SELECT DISTINCT batch_id % 100 AS month, concat('ach_', batch_id, '.csv') AS file FROM b_staged),
-b_file_findings AS (
+  FROM b_staged""",
+    "b_file_checked": """
+SELECT * FROM b_file_cells WHERE month NOT IN (2, 8, 10)""",
+    "b_files": """
+SELECT DISTINCT batch_id % 100 AS month, concat('ach_', batch_id, '.csv') AS file FROM b_staged""",
+    "b_file_findings": """
   SELECT file AS subject, 'ACH-FILE-001-COL-MISSING' AS rule_id, 'FAIL' AS severity,
          'Required column missing from header: ' || name AS description, 'column present: ' || name AS expected,
          'column absent' AS actual, CAST(NULL AS BIGINT) AS row_no
@@ -256,27 +261,27 @@ b_file_findings AS (
   SELECT file, 'ACH-FILE-001-TYPE-DATE', 'FAIL',
          concat('txn_date is not in YYYY-MM-DD format in row ', row_no, ': ''', day, ''''),
          'format: YYYY-MM-DD', concat('row ', row_no, ' value: ', day), row_no
-  FROM b_file_checked WHERE contains(day, '/')),
-b_file_status AS (
+  FROM b_file_checked WHERE contains(day, '/')""",
+    "b_file_status": """
   SELECT f.file, CASE WHEN count(*) FILTER (x.severity = 'FAIL') > 0 THEN 'FAIL'
                       WHEN count(x.severity) > 0 THEN 'WARNING' ELSE 'PASS' END AS status,
          count(x.severity) AS violations
-  FROM b_files f LEFT JOIN b_file_findings x ON x.subject = f.file GROUP BY f.file),
-b_scenarios AS (
+  FROM b_files f LEFT JOIN b_file_findings x ON x.subject = f.file GROUP BY f.file""",
+    "b_scenarios": """
   SELECT * FROM (VALUES
     ('API-BATCH-RUN-001', 'clean_trigger', 200, 'Pipeline completed successfully', NULL, NULL),
     ('API-BATCH-RUN-001', 'concurrent_trigger', 409, NULL, 'already running', NULL),
     ('API-BATCH-RUN-001', 'pipeline_failure', 500, NULL, NULL, 'Pipeline failed:'),
     ('API-BATCH-STATUS-001', 'pipeline_idle', 200, 'idle', NULL, NULL),
     ('API-BATCH-STATUS-001', 'pipeline_running', 200, 'running', NULL, NULL))
-    s(contract_id, scenario, want_status, exact, part, prefix)),
-b_events AS (
+    s(contract_id, scenario, want_status, exact, part, prefix)""",
+    "b_events": """
   SELECT *, CASE event_type WHEN 'purchase' THEN 'Pipeline completed successfully'
                             WHEN 'signup' THEN 'Pipeline is already running'
                             WHEN 'error' THEN 'Pipeline failed: no space left'
                             WHEN 'view' THEN 'idle' WHEN 'click' THEN 'running' END AS good
-  FROM events),
-b_responses AS (
+  FROM events""",
+    "b_responses": """
   SELECT concat('event-', event_id) AS response_id,
          CASE WHEN event_type IN ('view', 'click') THEN 'API-BATCH-STATUS-001' ELSE 'API-BATCH-RUN-001' END AS contract_id,
          CASE event_type WHEN 'purchase' THEN 'clean_trigger' WHEN 'signup' THEN 'concurrent_trigger'
@@ -290,8 +295,8 @@ b_responses AS (
   FROM b_events
   UNION ALL
   SELECT concat('turn-', conv_id, '-', turn), 'API-BATCH-RUN-001', role, 200, 'text/plain', coalesce(text, ''), false
-  FROM conversations),
-b_response_findings AS (
+  FROM conversations""",
+    "b_response_findings": f"""
   SELECT response_id AS subject, r.contract_id || '-' || f.kind AS rule_id, 'FAIL' AS severity,
          f.d AS description, f.e AS expected, f.a AS actual, contract_id, scenario
   FROM (SELECT r.*, unnest([
@@ -318,35 +323,35 @@ b_response_findings AS (
                         r.scenario, ''''),
             'e': 'content-type: text/plain, non-JSON body', 'a': concat('body parses as JSON: ', r.body)}}]) AS f
         FROM b_responses r LEFT JOIN b_scenarios s USING (contract_id, scenario)) r
-  WHERE f.bad),
-b_response_status AS (
+  WHERE f.bad""",
+    "b_response_status": """
   SELECT r.contract_id, r.scenario, r.responses, coalesce(f.violations, 0) AS violations,
          CASE WHEN f.violations > 0 THEN 'FAIL' ELSE 'PASS' END AS status
   FROM (SELECT contract_id, scenario, count(*) AS responses FROM b_responses GROUP BY 1, 2) r
   LEFT JOIN (SELECT contract_id, scenario, count(*) AS violations FROM b_response_findings GROUP BY 1, 2) f
-       USING (contract_id, scenario)),
-b_expected AS (
+       USING (contract_id, scenario)""",
+    "b_expected": """
   SELECT concat('RP-', batch_id // 100) AS scenario_id, batch_id // 100 AS year, count(*) AS n,
          count(*) FILTER (message = '') AS ok,
          CAST(sum(amount_cents) FILTER (message = '') AS BIGINT) AS cents
-  FROM b_legacy GROUP BY 1, 2),
-b_details AS (
+  FROM b_legacy GROUP BY 1, 2""",
+    "b_details": """
   SELECT concat('RP-', batch_id // 100) AS scenario_id, batch_id % 100 AS run_number, batch_id,
          staged_count, posted_count, staged_total_cents, posted_total_cents, counts_match, totals_match,
          counts_match AS expectation_match
-  FROM b_recon),
-b_totals AS (
+  FROM b_recon""",
+    "b_totals": """
   SELECT scenario_id, staged_count, posted_count, rejected_count, rejected_count AS error_count, total_posted_cents
   FROM (SELECT concat('RP-', batch_id // 100) AS scenario_id, count(*) AS staged_count,
                count(*) FILTER (status = 'rejected') AS rejected_count FROM b_table GROUP BY 1)
   JOIN (SELECT concat('RP-', batch_id // 100) AS scenario_id, count(*) AS posted_count,
-               CAST(sum(amount_cents) AS BIGINT) AS total_posted_cents FROM b_faulty GROUP BY 1) USING (scenario_id)),
-b_seen AS (
+               CAST(sum(amount_cents) AS BIGINT) AS total_posted_cents FROM b_faulty GROUP BY 1) USING (scenario_id)""",
+    "b_seen": """
   SELECT scenario_id, count(*) AS recon_rows, bool_and(counts_match) AS counts_match,
          bool_and(totals_match) AS totals_match, bool_and(expectation_match) AS per_run_match,
          count(*) FILTER (run_number = 1) AS first_run_rows
-  FROM b_details GROUP BY 1),
-b_replays AS (
+  FROM b_details GROUP BY 1""",
+    "b_replays": """
   SELECT scenario_id, recon_rows, t.staged_count, t.posted_count, t.rejected_count, t.error_count,
          t.total_posted_cents, s.counts_match, s.totals_match,
          concat_ws(' | ',
@@ -376,13 +381,14 @@ b_replays AS (
                 error_count, ', total=', total_posted_cents, ', reconRows=', recon_rows, ', countsMatch=',
                 CAST(counts_match AS VARCHAR), ', totalsMatch=', CAST(totals_match AS VARCHAR), ', perRunMatch=',
                 CASE WHEN year <= 1997 THEN CAST(per_run_match AS VARCHAR) ELSE 'n/a' END) AS actual_summary
-  FROM b_expected JOIN b_totals t USING (scenario_id) JOIN b_seen s USING (scenario_id)),
-b_replay_status AS (SELECT *, CASE WHEN mismatches = '' THEN 'PASS' ELSE 'FAIL' END AS status FROM b_replays),
-b_offenders AS (
+  FROM b_expected JOIN b_totals t USING (scenario_id) JOIN b_seen s USING (scenario_id)""",
+    "b_replay_status": """
+SELECT *, CASE WHEN mismatches = '' THEN 'PASS' ELSE 'FAIL' END AS status FROM b_replays""",
+    "b_offenders": """
   SELECT t.batch_id >= 199801 AS late, t.*, coalesce(s.n, 0) AS now_count, coalesce(s.total, 0) AS now_total
   FROM b_tampered t LEFT JOIN (SELECT batch_id, count(*) AS n, sum(amount_cents) AS total
-                               FROM b_table WHERE status = 'posted' GROUP BY 1) s USING (batch_id))
-"""
+                               FROM b_table WHERE status = 'posted' GROUP BY 1) s USING (batch_id)""",
+}
 
 _INVARIANT_LINES = """
   SELECT 'OUTPUT-RECON-001' AS subject, rule_id, 'FAIL' AS severity,
@@ -672,4 +678,17 @@ SELECTS: dict[str, str] = {
         FROM (SELECT status, 1 AS part FROM contracts UNION ALL SELECT status, 0 FROM b_replay_status)""",
 }
 
-ORACLES: dict[str, str] = {name: VIEWS + select for name, select in SELECTS.items()}
+
+def statement(select: str) -> str:
+    """A select with the views it needs, in order, and no others."""
+    wanted = set(re.findall(r"\bb_\w+", select))
+    for name in reversed(VIEWS):
+        if name in wanted:
+            wanted |= set(re.findall(r"\bb_\w+", VIEWS[name]))
+    views = ", ".join(f"{name} AS ({VIEWS[name]})" for name in VIEWS if name in wanted)
+    if select.lstrip().startswith(","):
+        return f"WITH {views}{select}" if views else f"WITH {select.lstrip()[1:]}"
+    return f"WITH {views} {select}" if views else select
+
+
+ORACLES: dict[str, str] = {name: statement(select) for name, select in SELECTS.items()}
