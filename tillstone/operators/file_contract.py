@@ -254,11 +254,11 @@ def check_lines(lines: DataFrame, contract: dict = INBOUND_CONTRACT) -> DataFram
 def check_blocks(source: LineBlocks, files: DataFrame, contract: dict = INBOUND_CONTRACT) -> DataFrame:
     """Findings for files scanned as lines; `files` lists them all, since an empty one has no line."""
     opening = source.blocks.where(F.col("block") == 0).select(
-        "file", F.col("header.value").alias("header"), "has_text"
+        "file", "header", "has_text"
     )
     heads = files.select("file").join(opening, "file", "left")
     laid_out = source._replace(
-        blocks=source.blocks.withColumn("layout", header_layout(F.col("header.value"), contract))
+        blocks=source.blocks.withColumn("layout", header_layout(F.col("header"), contract))
     )
     return _all_findings(heads, number_lines(laid_out, "layout"), contract)
 

@@ -42,13 +42,27 @@ def read_inbound_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     )
 
 
+def empty_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Files of length zero under the given paths, which Spark's own scans leave out."""
+    found = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+        store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for entry in store.globStatus(pattern) or []:
+            members = store.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+            found += [m.getPath().toUri().toString() for m in members if m.isFile() and m.getLen() == 0]
+    return found
+
+
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per file, empty files included; the contents are not read."""
-    return (
+    filled = (
         spark.read.format("binaryFile")
         .load(paths if isinstance(paths, str) else list(paths))
         .select(F.col("_metadata.file_path").alias("file"), "length")
     )
+    empty = [(name, 0) for name in empty_files(spark, paths)]
+    return filled.unionByName(spark.createDataFrame(empty, "file STRING, length BIGINT")) if empty else filled
 
 
 def pin_splits(spark: SparkSession) -> None:

@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
-    """Read a table of the store; one never written is empty when its schema is given."""
+def read_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
+    """Read a table of the store with its declared schema; one never written is empty."""
     try:
-        return spark.read.parquet(f"{root}/{name}")
+        return spark.read.schema(schema).parquet(f"{root}/{name}")
     except AnalysisException as missing:
-        if schema is None or missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
@@ -44,6 +44,18 @@ def write_partitions(frame: DataFrame, root: str, name: str, by: Sequence[str])
     )
 
 
+def write_run(frame: DataFrame, root: str, name: str, run_id: int, by: Sequence[str]) -> None:
+    """Replace everything a run has in a table, also what this frame no longer holds."""
+    (
+        frame.drop("run_id")
+        .hint("rebalance", *by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*by)
+        .parquet(f"{root}/{name}/run_id={run_id}")
+    )
+
+
 def write_json(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").json(path)
 
