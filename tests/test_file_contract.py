@@ -123,3 +123,17 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_changed_splits_fail_the_job(spark, tmp_path):
+    (tmp_path / "f.txt").write_text("".join(f"line-{i}\n" for i in range(5000)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        numbered = number_lines(read_line_blocks(spark, str(tmp_path)))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        with pytest.raises(Exception, match="splits changed"):
+            numbered.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

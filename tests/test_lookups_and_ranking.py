@@ -73,3 +73,12 @@ def test_hot_group_spreads_over_partitions(spark):
         assert len(sizes) == 4 and max(sizes) < 10_000
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_measured_reference_is_broadcast(spark, shuffled):
+    """An aggregated reference with a useless estimate is counted and then broadcast."""
+    facts = spark.createDataFrame(_rows(), "id INT, k INT")
+    reference = facts.where("k is not null").groupBy("k").agg(F.count("*").alias("n"))
+    got = lookup_join(facts, reference, "k", measure=True)
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    assert got.where("k = 1 and n = 400").count() == 400 and got.count() == facts.count()

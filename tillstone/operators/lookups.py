@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstone.session import cut_lineage
+
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1024
 SPREAD = 64
+# A reference table that was written out and counted may be broadcast up to this size.
+MEASURED_BYTES = 256 << 20
 
 
 def broadcast_limit(frame: DataFrame) -> int:
@@ -28,25 +32,40 @@ def fits_broadcast(frame: DataFrame) -> bool:
     return estimated_bytes(frame) <= broadcast_limit(frame)
 
 
+def row_bytes(frame: DataFrame) -> int:
+    """A generous guess at the size of a row in memory."""
+    return 32 + sum(8 if f.dataType.typeName() in _FIXED else 128 for f in frame.schema.fields)
+
+
+_FIXED = {"boolean", "byte", "short", "integer", "long", "double", "date", "timestamp", "timestamp_ntz"}
+
+
 def lookup_join(
     facts: DataFrame,
     reference: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    measure: bool = False,
 ) -> DataFrame:
     """Join facts to a reference table that has one row (or few) per key.
 
-    A reference table proven small is broadcast. Otherwise both sides shuffle, and keys holding
-    many fact rows, as well as absent keys, are spread over SPREAD salts. The hot-key list keeps
-    at most HOT_KEYS entries, the largest first; a key left off it holds under 1/HOT_KEYS of all
-    rows, so the plain shuffle can carry it. Every row is joined either way.
+    A reference table proven small is broadcast: by Catalyst's estimate or, with `measure`, by
+    writing it out and counting it, which suits results of an aggregation whose estimate is far too
+    high. Otherwise both sides shuffle, and keys holding many fact rows, as well as absent keys, are
+    spread over SPREAD salts. The hot-key list keeps at most HOT_KEYS entries, the largest first; a
+    key left off it holds under 1/HOT_KEYS of all rows, so the plain shuffle can carry it. Every row
+    is joined either way.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported lookup join: {how}")
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(reference):
         return facts.join(F.broadcast(reference), keys, how)
+    if measure:
+        reference = cut_lineage(reference)
+        if reference.count() * row_bytes(reference) <= MEASURED_BYTES:
+            return facts.join(F.broadcast(reference), keys, how)
 
     hot = (
         facts.groupBy(*keys)
@@ -73,7 +92,7 @@ def lookup_join(
 def in_scope(frame: DataFrame, scope: DataFrame, key: str) -> DataFrame:
     """Keep the rows whose key is listed in `scope` (the IN-list filter, without a literal list)."""
     listed = scope.select(key).distinct().withColumn("_listed", F.lit(True))
-    return lookup_join(frame, listed, key, "inner").drop("_listed")
+    return lookup_join(frame, listed, key, "inner", measure=True).drop("_listed")
 
 
 def orphan_counts(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:

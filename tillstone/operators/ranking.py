@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstone.operators.lookups import lookup_join
 from tillstone.session import cut_lineage
 
 # monotonically_increasing_id keeps the partition number above this bit.
@@ -39,7 +40,7 @@ def positional_index(
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = runs.select(*group, "_part", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     return (
-        laid_out.join(starts, [*group, "_part"])
+        lookup_join(laid_out, starts, [*group, "_part"], "inner", measure=True)
         .withColumn(name, (F.col("_before") + F.col("_slot") - F.col("_first")).cast("bigint"))
         .drop("_slot", "_part", "_first", "_before")
     )

@@ -93,10 +93,12 @@ def enriched_transactions(
     rows = ledger.select("txn_id", "account_id", "merchant_id", "direction", "amount_cents", "status")
     named = lookup_join(rows, holders.select("account_id", "full_name"), "account_id", "inner")
     shops = merchants.select("merchant_id", F.col("name").alias("merchant_name"))
-    listed = lookup_join(named, shops, "merchant_id").select(
-        "txn_id", "account_id", "full_name", "merchant_name", "direction", "amount_cents", "status"
-    ).orderBy("txn_id")
-    return listed if limit is None else listed.limit(limit)
+    columns = ["txn_id", "account_id", "full_name", "merchant_name", "direction", "amount_cents", "status"]
+    if limit is None:
+        return lookup_join(named, shops, "merchant_id").select(*columns).orderBy("txn_id")
+    # A left join loses no row, so the first rows can be chosen before it.
+    first = named.orderBy("txn_id").limit(limit)
+    return lookup_join(first, shops, "merchant_id").select(*columns).orderBy("txn_id").limit(limit)
 
 
 def listing(table: DataFrame, columns: list[str], key: str, limit: int | None = None) -> DataFrame:

@@ -94,7 +94,7 @@ def hold_failed_batches(outcomes: DataFrame, limit: int = REJECT_LIMIT) -> DataF
     failed = reject_counts(outcomes, limit).where(~F.col("within_limit")).select(
         "batch_id", F.lit(True).alias("_failed")
     )
-    flagged = lookup_join(outcomes, failed, "batch_id")
+    flagged = lookup_join(outcomes, failed, "batch_id", measure=True)
     return flagged.select(
         *[c for c in outcomes.columns if c not in ("status", "error_message")],
         F.when(F.col("_failed"), STAGED_STATE).otherwise(F.col("status")).alias("status"),

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from tillstone.model import LEDGER_DESCRIPTION, LOAD_JOB, POST_JOB, VALIDATE_JOB
 from tillstone.operators.intake import INBOUND_ORDER
+from tillstone.operators.lookups import fits_broadcast
 from tillstone.operators.posting import mark_posted, post
 from tillstone.operators.reconciliation import Outputs, collect_outputs, reconcile
 from tillstone.operators.validation import reject_log, standard_rules, validate
+from tillstone.session import cut_lineage
 from tillstone.sources.documents import with_approval_defaults
 
 # Schemas of the supplied tables; naming them saves a look into the files before every query.
@@ -91,7 +93,15 @@ class Bank:
 
     @cache
     def outcomes(self) -> DataFrame:
-        return validate(self.staged(), self.accounts())
+        return self._settled(validate(self.staged(), self.accounts()))
+
+    def _settled(self, judged: DataFrame) -> DataFrame:
+        """Judged rows feed the staged table, the ledger and the reject log.
+
+        With accounts small enough to broadcast, judging is part of the scan and may be repeated;
+        beyond that it shuffles, and is written out once.
+        """
+        return judged if fits_broadcast(self.accounts()) else cut_lineage(judged)
 
     @cache
     def staged_table(self) -> DataFrame:
@@ -180,7 +190,7 @@ class Bank:
         cents = F.col("amount_cents")
         cut = F.when(F.col("dataset_id").endswith("3-MEDIUM"), cents - F.pmod(cents, F.lit(10))).otherwise(cents)
         rows = self.staged().withColumn("amount_cents", cut.cast("int"))
-        judged = validate(rows, self.accounts(), standard_rules(fold_direction=True))
+        judged = self._settled(validate(rows, self.accounts(), standard_rules(fold_direction=True)))
         return judged.withColumn("direction", F.upper("direction"))
 
     @cache

@@ -43,9 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tillstone-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, kept apart from other applications."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; frames built on it end with that."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(frame: DataFrame) -> DataFrame:

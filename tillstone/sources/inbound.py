@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillstone.functions.scalars import is_blank
 from tillstone.model import INBOUND
+from tillstone.operators.lookups import lookup_join
 
 # Lines that begin with this mark are comments.
 COMMENT_MARK = "#"
@@ -21,7 +22,7 @@ class LineBlocks(NamedTuple):
     """Lines keyed by the split they were read from, and one row per split.
 
     lines:  file, block, slot, value
-    blocks: file, block, first_slot, lines_before, header, has_text
+    blocks: file, block, first_slot, n, lines_before, header, has_text
     """
 
     lines: DataFrame
@@ -108,6 +109,7 @@ def index_blocks(raw: DataFrame) -> LineBlocks:
         "file",
         "block",
         "first_slot",
+        "n",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("lines_before"),
         F.max("opening").over(whole).alias("header"),
         F.max("has_text").over(whole).alias("has_text"),
@@ -122,11 +124,18 @@ def read_line_blocks(spark: SparkSession, paths: str | Sequence[str]) -> LineBlo
 def number_lines(source: LineBlocks, *carry: str) -> DataFrame:
     """file, row_no (1 = first physical line), value and the carried block columns.
 
-    The join key is the split, which the reader bounds in size, so no key is ever hot.
+    There is one block row per split, so it is broadcast and the lines stay where they were read; a
+    set of files with too many splits for that is joined on the split, whose size the reader bounds.
+    A line outside the block it should be in means that the files were cut differently this time,
+    and fails the job.
     """
-    return source.lines.join(source.blocks, ["file", "block"]).select(
+    joined = lookup_join(source.lines, source.blocks, ["file", "block"], "left", measure=True)
+    place = F.col("slot") - F.col("first_slot")
+    found = place.isNotNull() & (place >= 0) & (place < F.col("n"))
+    moved = F.raise_error(F.concat(F.lit("splits changed between two scans of "), "file"))
+    return joined.select(
         "file",
-        (F.col("lines_before") + F.col("slot") - F.col("first_slot") + 1).cast("bigint").alias("row_no"),
+        F.when(found, F.col("lines_before") + place + 1).otherwise(moved.cast("bigint")).alias("row_no"),
         "value",
         *carry,
     )
