@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from tillstone.operators import lookups
 from parity import compare, connect
 
 FOLDER = os.environ.get("PARITY_DIR", "/root/testdata/sf0.001")
@@ -28,3 +29,19 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    "name", ["validate_rules", "reconcile_run", "held_batches", "txn_enriched", "inv_scoped", "field_compare",
+             "file_contract_rows", "response_conformance", "replay_details"]
+)
+def test_without_broadcasts(spark, con, monkeypatch, name):
+    """The same results when no table counts as small and most keys as hot."""
+    monkeypatch.setattr(lookups, "HOT_ROWS", 20)
+    monkeypatch.setattr(lookups, "MEASURED_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ok, text = compare(spark, con, FOLDER, name, QUERIES[name], ORACLES[name])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ok, text

@@ -45,7 +45,7 @@ def lookup_join(
     reference: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     measure: bool = False,
 ) -> DataFrame:
     """Join facts to a reference table that has one row (or few) per key.
@@ -70,7 +70,7 @@ def lookup_join(
     hot = (
         facts.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") >= hot_rows)
+        .where(F.col("_rows") >= (hot_rows or HOT_ROWS))
         .orderBy(F.desc("_rows"), *keys)
         .limit(HOT_KEYS)
         .select(*keys, F.lit(True).alias("_hot"))
