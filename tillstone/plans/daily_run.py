@@ -30,6 +30,7 @@ from tillstone.model import (
 )
 from tillstone.operators import reporting
 from tillstone.operators.intake import batch_register, parse_files, split_intake, unprocessed
+from tillstone.operators.lookups import fits_broadcast
 from tillstone.operators.posting import post
 from tillstone.operators.reconciliation import ReconciliationMismatch, gate, reconcile
 from tillstone.operators.validation import hold_failed_batches, reject_counts, reject_log, validate
@@ -75,11 +76,11 @@ class Store:
         frame = read_table(self.spark, self.root, name, TABLES[name])
         return frame if run_id is None else frame.where(F.col("run_id") == run_id)
 
-    def write(self, frame: DataFrame, name: str, by: Sequence[str] = KEYS) -> None:
-        write_partitions(frame, self.root, name, by)
+    def write(self, frame: DataFrame, name: str, by: Sequence[str] = KEYS, gather: bool = True) -> None:
+        write_partitions(frame, self.root, name, by, gather)
 
-    def write_run(self, frame: DataFrame, name: str, run_id: int) -> None:
-        write_run(frame, self.root, name, run_id, ["batch_id"])
+    def write_run(self, frame: DataFrame, name: str, run_id: int, gather: bool = True) -> None:
+        write_run(frame, self.root, name, run_id, ["batch_id"], gather)
 
     def close_stage(self, run_id: int, job: str, status: str, count: int | None) -> None:
         """One control row per run and stage; closing a stage again replaces its row."""
@@ -113,7 +114,8 @@ def load(store: Store, paths: str | Sequence[str], run_id: int, merchants: DataF
     fresh = [unquote(row.file) for row in waiting.select("file").collect()]
     if fresh:
         parsed = parse_files(store.spark, fresh, run_id, merchants)
-        store.write(parsed.withColumn("run_id", F.lit(run_id).cast("bigint")), "intake")
+        shuffled = merchants is not None and not fits_broadcast(merchants)
+        store.write(parsed.withColumn("run_id", F.lit(run_id).cast("bigint")), "intake", gather=shuffled)
         register = batch_register(
             list_files(store.spark, fresh), split_intake(store.table("intake", run_id)).staged, run_id
         )
@@ -131,14 +133,14 @@ def pending_runs(store: Store, job: str) -> list[int]:
 def validate_run(store: Store, run_id: int, accounts: DataFrame, limit: int = REJECT_LIMIT) -> None:
     """Judge the staged rows of a run; a batch over the reject limit stays staged and fails the stage."""
     staged = split_intake(store.table("intake", run_id)).staged
-    store.write_run(validate(staged, accounts), "outcomes", run_id)
+    store.write_run(validate(staged, accounts), "outcomes", run_id, gather=not fits_broadcast(accounts))
     judged = store.table("outcomes", run_id)
     over = reject_counts(judged, limit).where(~F.col("within_limit")).count()
     if over:
         store.write_run(hold_failed_batches(judged, limit), "held_outcomes", run_id)
         store.write_run(store.table("held_outcomes", run_id), "outcomes", run_id)
         judged = store.table("outcomes", run_id)
-    store.write_run(reject_log(judged), "batch_job_errors", run_id)
+    store.write_run(reject_log(judged), "batch_job_errors", run_id, gather=False)
     count = judged.where(F.col("status") != STAGED_STATE).count()
     store.close_stage(run_id, VALIDATE_JOB, "failed" if over else "completed", count)
     if over:
@@ -146,7 +148,7 @@ def validate_run(store: Store, run_id: int, accounts: DataFrame, limit: int = RE
 
 
 def post_run(store: Store, run_id: int) -> None:
-    store.write_run(post(store.table("outcomes", run_id)), "transactions", run_id)
+    store.write_run(post(store.table("outcomes", run_id)), "transactions", run_id, gather=False)
     store.close_stage(run_id, POST_JOB, "completed", store.table("transactions", run_id).count())
 
 

@@ -16,6 +16,8 @@ def build_session(app: str = "tillstone", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Call sites in error messages cost several round trips per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillstone.functions.scalars import is_blank
 from tillstone.model import INBOUND
 from tillstone.operators.lookups import lookup_join
+from tillstone.session import cut_lineage
 
 # Lines that begin with this mark are comments.
 COMMENT_MARK = "#"
@@ -90,7 +91,7 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def index_blocks(raw: DataFrame) -> LineBlocks:
-    """Give each line its place in the read order and describe each split.
+    """Give each line its place in the read order and describe each split, in one pass.
 
     `raw` must come straight from a scan: within a split the places are then consecutive.
     """
@@ -114,7 +115,7 @@ def index_blocks(raw: DataFrame) -> LineBlocks:
         F.max("opening").over(whole).alias("header"),
         F.max("has_text").over(whole).alias("has_text"),
     )
-    return LineBlocks(lines, blocks)
+    return LineBlocks(lines, cut_lineage(blocks))
 
 
 def read_line_blocks(spark: SparkSession, paths: str | Sequence[str]) -> LineBlocks:

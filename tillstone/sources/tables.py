@@ -29,14 +29,22 @@ def scoped(frame: DataFrame, status: str | None = None, batch_id=None) -> DataFr
     return frame
 
 
-def write_partitions(frame: DataFrame, root: str, name: str, by: Sequence[str]) -> None:
+def _gathered(frame: DataFrame, by: Sequence[str], gather: bool) -> DataFrame:
+    """Bring the rows of a partition value together when a shuffle has scattered them.
+
+    The adaptive engine splits a value that is far too large over several tasks. Rows that come
+    straight from a scan lie together already and are left where they are.
+    """
+    return frame.hint("rebalance", *by) if gather else frame
+
+
+def write_partitions(frame: DataFrame, root: str, name: str, by: Sequence[str], gather: bool = True) -> None:
     """Replace the partitions present in the frame and leave all others alone.
 
-    Running the same write again gives the same table. The rebalance step gathers each partition
-    value into few files and lets the adaptive engine split a value that is far too large.
+    Running the same write again gives the same table.
     """
     (
-        frame.hint("rebalance", *by)
+        _gathered(frame, by, gather)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
@@ -44,11 +52,12 @@ def write_partitions(frame: DataFrame, root: str, name: str, by: Sequence[str])
     )
 
 
-def write_run(frame: DataFrame, root: str, name: str, run_id: int, by: Sequence[str]) -> None:
+def write_run(
+    frame: DataFrame, root: str, name: str, run_id: int, by: Sequence[str], gather: bool = True
+) -> None:
     """Replace everything a run has in a table, also what this frame no longer holds."""
     (
-        frame.drop("run_id")
-        .hint("rebalance", *by)
+        _gathered(frame.drop("run_id"), by, gather)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*by)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tillstone.operators.intake import file_name_of, parse_blocks, split_intake
+from tillstone.operators.lookups import fits_broadcast
 from tillstone.operators.posting import mark_posted, post
 from tillstone.operators.reconciliation import reconcile
 from tillstone.operators.validation import validate
@@ -25,9 +26,10 @@ LANDING_KEY = "file_name"
 def land(staged: DataFrame, accounts: DataFrame, root: str) -> None:
     """Validate and post the staged rows of one micro-batch; both tables are keyed by file."""
     outcomes = validate(staged, accounts).persist(StorageLevel.DISK_ONLY)
+    shuffled = not fits_broadcast(accounts)
     try:
-        write_partitions(mark_posted(outcomes), root, "staged_transactions", [LANDING_KEY])
-        write_partitions(post(outcomes), root, "transactions", [LANDING_KEY])
+        write_partitions(mark_posted(outcomes), root, "staged_transactions", [LANDING_KEY], shuffled)
+        write_partitions(post(outcomes), root, "transactions", [LANDING_KEY], shuffled)
     finally:
         outcomes.unpersist()
 
@@ -62,7 +64,7 @@ def intake_folder(spark: SparkSession, folder: str, accounts: DataFrame, root: s
         intake = split_intake(parsed)
         land(intake.staged, accounts, root)
         quarantine = intake.quarantine.withColumn(LANDING_KEY, file_name_of(F.col("file")))
-        write_partitions(quarantine, root, "quarantine", [LANDING_KEY])
+        write_partitions(quarantine, root, "quarantine", [LANDING_KEY], gather=False)
 
     run_available(stream, handle, root)
 
