@@ -67,7 +67,7 @@ def run_details(runs: DataFrame, reconciliations: DataFrame, expectations: DataF
     """
     rows = runs.join(reconciliations, "batch_id")
     wanted = expectations.select(F.col("scenarioId").alias(KEY), "expectedPerRun", "expectedReconciliation")
-    joined = lookup_join(rows, wanted, KEY)
+    joined = lookup_join(rows, wanted, KEY, measure=True)
 
     def meets(part: str) -> Column:
         flag = F.lit(True)

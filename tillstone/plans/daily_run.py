@@ -30,7 +30,7 @@ from tillstone.model import (
 )
 from tillstone.operators import reporting
 from tillstone.operators.intake import batch_register, parse_files, split_intake, unprocessed
-from tillstone.operators.lookups import fits_broadcast
+from tillstone.operators.lookups import fits_broadcast, lookup_join
 from tillstone.operators.posting import post
 from tillstone.operators.reconciliation import ReconciliationMismatch, gate, reconcile
 from tillstone.operators.validation import hold_failed_batches, reject_counts, reject_log, validate
@@ -99,12 +99,15 @@ class Store:
 
     def staged_transactions(self) -> DataFrame:
         """Current state of every staged row of every run."""
-        posted_runs = self.completed(POST_JOB).withColumn("_posted", F.lit(True))
-        judged = self.table("outcomes").join(posted_runs, "run_id", "left")
+        # A run holds very many rows, so its id must never become a plain shuffle key.
+        posted = self.completed(POST_JOB).withColumn("_posted", F.lit(True))
+        judged = lookup_join(self.table("outcomes"), posted, "run_id", measure=True)
         state = F.when(F.col("_posted") & (F.col("status") == VALIDATED_STATE), POSTED_STATE)
         judged = judged.withColumn("status", F.coalesce(state, F.col("status"))).drop("_posted")
-        waiting = split_intake(self.table("intake")).staged.join(self.completed(VALIDATE_JOB), "run_id", "left_anti")
-        return judged.unionByName(waiting, allowMissingColumns=True)
+        validated = self.completed(VALIDATE_JOB).withColumn("_validated", F.lit(True))
+        staged = split_intake(self.table("intake")).staged
+        waiting = lookup_join(staged, validated, "run_id", measure=True).where(F.col("_validated").isNull())
+        return judged.unionByName(waiting.drop("_validated"), allowMissingColumns=True)
 
 
 def load(store: Store, paths: str | Sequence[str], run_id: int, merchants: DataFrame | None = None) -> None:
