@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as entry_point
 from tillstone.operators import lookups
+from tillstone.plans.catalog import QUERIES
+from tillstone.plans.oracles import ORACLES
 from parity import compare, connect
 
 FOLDER = os.environ.get("PARITY_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def con():
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
