@@ -17,9 +17,10 @@ SAMPLE_ROWS = 4096
 DIMENSIONS = 1024
 THRESHOLD = 0.5
 
-LABELLERS = ("case", "symbols", "exclamations", "columns", "repeats", "variety", "sentences")
+LABELLERS = ("case", "symbols", "exclamations", "columns", "repeats", "variety", "sentences", "plain")
 _UPPER = np.arange(65, 91)
 _LETTER = np.concatenate((np.arange(65, 91), np.arange(97, 123), np.arange(0x80, 0x100)))
+_PLAIN = np.concatenate((_LETTER, np.frombuffer(b" \n\t.,;:'-", np.uint8)))
 _SYMBOL = np.array([ord(c) for c in "!#$%&*+/<=>@\\^_`{|}~"])
 
 
@@ -33,6 +34,7 @@ class Measures(NamedTuple):
     stops: int
     repeats: int
     different: int
+    plain: float
 
 
 def measure(data: bytes, words: np.ndarray) -> Measures:
@@ -40,6 +42,7 @@ def measure(data: bytes, words: np.ndarray) -> Measures:
     return Measures(
         len(words), int(seen[_LETTER].sum()), int(seen[_UPPER].sum()), int(seen[_SYMBOL].sum()), int(seen[ord("!")]),
         int(seen[ord("|")]), int(seen[[ord(c) for c in ".?!"]].sum()), int((words[1:] == words[:-1]).sum()), len(np.unique(words)),
+        int(seen[_PLAIN].sum()) / max(len(data), 1),
     )
 
 
@@ -58,11 +61,12 @@ def votes(m: Measures) -> list[int]:
     return [
         judge(upper < 0.15, upper > 0.5),
         judge(m.symbols * per_word < 0.05, m.symbols * per_word > 0.3),
-        judge(False, m.bangs * per_word > 0.3),
-        judge(False, m.bars * per_word > 0.2),
+        judge(m.bangs * per_word < 0.1, m.bangs * per_word > 0.3),
+        judge(m.bars * per_word < 0.05, m.bars * per_word > 0.2),
         judge(m.repeats * per_word < 0.05, m.repeats * per_word > 0.25),
         judge(long and different > 0.5, long and m.different * per_word < 0.15 and different < 0.3),
         judge(stops < 40 and not m.bangs * per_word > 0.3, long and stops > 120),
+        judge(m.plain > 0.95, m.plain < 0.85),
     ]
 
 
@@ -100,14 +104,16 @@ _PAIR_SLOT = _pair_slots()
 
 
 class LabelModel(NamedTuple):
-    """Share of good documents and the accuracy of each labeller where it has an opinion."""
+    """Share of good documents and, per labeller with an opinion, how often it is right about good and about bad ones."""
 
     share: float
-    accuracy: list[float]
+    right_good: list[float]
+    right_bad: list[float]
 
     def posterior(self, votes_: np.ndarray) -> np.ndarray:
-        accuracy = np.asarray(self.accuracy)
-        odds = np.log(self.share / (1 - self.share)) + votes_ @ np.log(accuracy / (1 - accuracy))
+        good, bad = np.asarray(self.right_good), np.asarray(self.right_bad)
+        odds = np.log(self.share / (1 - self.share))
+        odds = odds + (votes_ > 0) @ np.log(good / (1 - bad)) + (votes_ < 0) @ np.log((1 - good) / bad)
         return 1 / (1 + np.exp(-odds))
 
 
@@ -122,21 +128,25 @@ def cast_votes(docs: DataFrame, carry: list[str]) -> DataFrame:
 def fit_label_model(patterns: list[tuple[str, int]], rounds: int = 50) -> LabelModel:
     """Expectation-maximisation over vote patterns and their counts in the whole corpus.
 
-    A labeller is right with its own accuracy whatever the class, so a document that only gets good
-    votes is never taken for bad, however few bad ones there are.
+    A good vote never speaks against a document, and half of the documents at least count as good: one that only
+    gets good votes is never taken for bad, however few bad ones there are.
     """
+    start = LabelModel(0.9, [0.98] * len(LABELLERS), [0.5] * len(LABELLERS))
     if not patterns:
-        return LabelModel(0.5, [0.7] * len(LABELLERS))
+        return start
     table = np.array([[int(x) for x in p.split(",")] for p, _ in patterns], float)
     count = np.array([c for _, c in patterns], float)
-    model = LabelModel(0.8, [0.8] * len(LABELLERS))
+    good = np.where((table < 0).any(axis=1), 0.1, 0.95)
     for _ in range(rounds):
-        good = model.posterior(table)[:, None]
-        opinions = (count[:, None] * (table != 0)).sum(0)
-        right = (count[:, None] * np.where(table > 0, good, np.where(table < 0, 1 - good, 0))).sum(0)
-        accuracy = np.clip((right + 1.4) / (opinions + 2), 0.55, 0.99)
-        share = float(np.clip((count * good[:, 0]).sum() / count.sum(), 0.05, 0.95))
-        model = LabelModel(share, accuracy.tolist())
+        def rate(weight: np.ndarray, side: np.ndarray, prior: float) -> np.ndarray:
+            held = (count * weight)[:, None]
+            return ((held * side).sum(0) + 4 * prior) / ((held * (table != 0)).sum(0) + 4)
+
+        right_good = np.clip(rate(good, table > 0, 0.98), 0.5, 0.999)
+        right_bad = np.clip(np.maximum(rate(1 - good, table < 0, 0.5), 1 - right_good), 0.001, 0.95)
+        share = float(np.clip((count * good).sum() / count.sum(), 0.5, 0.99))
+        model = LabelModel(share, right_good.tolist(), right_bad.tolist())
+        good = model.posterior(table)
     return model
 
 
