@@ -15,12 +15,14 @@ from tillstone.llm.textkit import from_text, mix, words_of
 # Documents the linear scorer is fitted on (a bound; votes, accuracies and scores cover all documents).
 SAMPLE_ROWS = 4096
 DIMENSIONS = 1024
-THRESHOLD = 0.5
+THRESHOLD = 0.4
+# What the labellers are built for: wrong about at most 3 good documents in 1000, each aimed at few kinds of bad ones.
+RIGHT_GOOD, RIGHT_BAD = 0.997, 0.35
 
 LABELLERS = ("case", "symbols", "exclamations", "columns", "repeats", "variety", "sentences", "plain")
 _UPPER = np.arange(65, 91)
 _LETTER = np.concatenate((np.arange(65, 91), np.arange(97, 123), np.arange(0x80, 0x100)))
-_PLAIN = np.concatenate((_LETTER, np.frombuffer(b" \n\t.,;:'-", np.uint8)))
+_PLAIN = np.concatenate((_LETTER, np.frombuffer(b" \n\t.,;:'-\"()+=/_@?0123456789", np.uint8)))
 _SYMBOL = np.array([ord(c) for c in "!#$%&*+/<=>@\\^_`{|}~"])
 
 
@@ -131,7 +133,7 @@ def fit_label_model(patterns: list[tuple[str, int]], rounds: int = 50) -> LabelM
     A good vote never speaks against a document, and half of the documents at least count as good: one that only
     gets good votes is never taken for bad, however few bad ones there are.
     """
-    start = LabelModel(0.9, [0.98] * len(LABELLERS), [0.5] * len(LABELLERS))
+    start = LabelModel(0.9, [0.998] * len(LABELLERS), [0.2] * len(LABELLERS))
     if not patterns:
         return start
     table = np.array([[int(x) for x in p.split(",")] for p, _ in patterns], float)
@@ -142,8 +144,8 @@ def fit_label_model(patterns: list[tuple[str, int]], rounds: int = 50) -> LabelM
             held = (count * weight)[:, None]
             return ((held * side).sum(0) + 4 * prior) / ((held * (table != 0)).sum(0) + 4)
 
-        right_good = np.clip(rate(good, table > 0, 0.98), 0.5, 0.999)
-        right_bad = np.clip(np.maximum(rate(1 - good, table < 0, 0.5), 1 - right_good), 0.001, 0.95)
+        right_good = np.clip(rate(good, table > 0, 0.998), RIGHT_GOOD, 0.999)
+        right_bad = np.clip(np.maximum(rate(1 - good, table < 0, 0.2), 1 - right_good), 0.001, RIGHT_BAD)
         share = float(np.clip((count * good).sum() / count.sum(), 0.5, 0.99))
         model = LabelModel(share, right_good.tolist(), right_bad.tolist())
         good = model.posterior(table)
