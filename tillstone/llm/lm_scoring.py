@@ -14,13 +14,26 @@ from tillstone.session import cut_lineage
 
 BACKOFF = 0.4
 # Text bytes of a block, and n-grams of a counting task. Layout only; the scores do not depend on them.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_GRAMS = 1_000_000
 
 _ASK = "kind INT, bucket BIGINT, block BIGINT, grams BINARY, counts BINARY"
 _ANSWER = "block BIGINT, kind INT, bucket BIGINT, totals BINARY"
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Counts as one byte each, 255 standing for the next of the eight-byte counts at the end."""
+    large = values[values >= 255]
+    return len(values).to_bytes(8, "little") + np.minimum(values, 255).astype(np.uint8).tobytes() + large.astype("<u8").tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    values = np.frombuffer(data, np.uint8, n, 8).astype(np.int64)
+    values[values == 255] = np.frombuffer(data, "<u8", offset=8 + n).astype(np.int64)
+    return values
+
+
 class _Block:
     """Words and bigrams of the documents of one block as hashes, in a fixed order."""
 
@@ -46,7 +59,7 @@ def _ask(bits: int):
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             for grams_part, counts_part, at in zip(np.split(different, cuts), np.split(counts, cuts), [0, *cuts]):
                 rows["kind"].append(kind), rows["bucket"].append(int(bucket[at])), rows["block"].append(key[0].as_py())
-                rows["grams"].append(grams_part.astype("<u8").tobytes()), rows["counts"].append(counts_part.astype("<u4").tobytes())
+                rows["grams"].append(grams_part.astype("<u8").tobytes()), rows["counts"].append(_packed(counts_part))
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         return pa.Table.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names=list(rows))
 
@@ -56,12 +69,12 @@ def _ask(bits: int):
 def _answer(key, table):
     """The count table of one hash range: sums over blocks, sent back in the order they were asked in."""
     grams = [np.frombuffer(g, "<u8") for g in table.column("grams").to_pylist()]
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in table.column("counts").to_pylist()]).astype(np.int64)
+    counts = np.concatenate([_unpacked(c) for c in table.column("counts").to_pylist()])
     different, place = np.unique(np.concatenate(grams), return_inverse=True)
     totals = np.zeros(len(different), np.int64)
     np.add.at(totals, place, counts)
     cuts = np.cumsum([len(g) for g in grams])[:-1]
-    sent = [part.astype("<u8").tobytes() for part in np.split(totals[place], cuts)]
+    sent = [_packed(part) for part in np.split(totals[place], cuts)]
     return pa.Table.from_arrays(
         [table.column("block"), table.column("kind"), table.column("bucket"), pa.array(sent, pa.binary())],
         names=["block", "kind", "bucket", "totals"],
@@ -79,7 +92,7 @@ def _score(key, docs, answers):
     n = len(block.sizes)
     order = np.lexsort((answers.column("bucket").to_numpy(), answers.column("kind").to_numpy()))
     sent, kinds = answers.column("totals").to_pylist(), answers.column("kind").to_pylist()
-    total = {k: np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(sent[i], "<u8") for i in order if kinds[i] == k)]).astype(np.int64) for k in (1, 2)}
+    total = {k: np.concatenate([np.zeros(0, np.int64), *(_unpacked(sent[i]) for i in order if kinds[i] == k)]) for k in (1, 2)}
 
     _, word_place = np.unique(block.words, return_inverse=True)
     _, pair, count = _own(block.doc, word_place, len(total[1]))
