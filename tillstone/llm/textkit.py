@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 # Texts are hashed in pieces of about this many bytes, so a long text costs no more memory than short ones.
 PIECE_BYTES = 1 << 20
+# Rows of an Arrow batch worked on at a time.
+SLICE_ROWS = 512
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -138,10 +140,12 @@ def from_text(frame: DataFrame, carry: list[str], schema: str, make) -> DataFram
     fields = [*picked.schema.fields[:-1], *made.fields]
 
     def run(batches):
-        for batch in batches:
-            columns = make(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *made.fieldNames()]
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                columns = make(batch.column(batch.num_columns - 1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *made.fieldNames()]
+                )
 
     return picked.mapInArrow(run, T.StructType(fields))
