@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tillstone.session import cut_lineage
 
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1024
 SPREAD = 64
 # A reference table that was written out and counted may be broadcast up to this size.
 MEASURED_BYTES = 256 << 20
@@ -53,9 +52,8 @@ def lookup_join(
     A reference table proven small is broadcast: by Catalyst's estimate or, with `measure`, by
     writing it out and counting it, which suits results of an aggregation whose estimate is far too
     high. Otherwise both sides shuffle, and keys holding many fact rows, as well as absent keys, are
-    spread over SPREAD salts. The hot-key list keeps at most HOT_KEYS entries, the largest first; a
-    key left off it holds under 1/HOT_KEYS of all rows, so the plain shuffle can carry it. Every row
-    is joined either way.
+    spread over SPREAD salts. Every key of HOT_ROWS rows or more is on the hot-key list, which so has at
+    most one entry per HOT_ROWS fact rows. Every row is joined either way.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported lookup join: {how}")
@@ -71,8 +69,6 @@ def lookup_join(
         facts.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") >= (hot_rows or HOT_ROWS))
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(HOT_KEYS)
         .select(*keys, F.lit(True).alias("_hot"))
     )
     absent = F.lit(False)

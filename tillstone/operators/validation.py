@@ -37,7 +37,7 @@ def standard_rules(fold_direction: bool = False) -> list[Rule]:
         code = F.upper(code)
     found = F.col("account_status")
     return [
-        Rule("amount", F.col("amount_cents") <= 0, AMOUNT_MESSAGE),
+        Rule("amount", F.col("amount_cents").isNull() | (F.col("amount_cents") <= 0), AMOUNT_MESSAGE),
         Rule("direction", ~code.isin("D", "C"), DIRECTION_MESSAGE),
         Rule("account_exists", found.isNull(), ACCOUNT_MISSING_MESSAGE),
         Rule("account_active", found != "active", ACCOUNT_INACTIVE_MESSAGE),

@@ -45,14 +45,18 @@ def read_inbound_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
 
 
 def empty_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """Files of length zero under the given paths, which Spark's own scans leave out."""
+    """Files of length zero under the given paths, which Spark's own scans leave out.
+
+    Names that begin with `_` or `.` are markers of other jobs, no inbound files, as in Spark's scans.
+    """
     found = []
     for path in [paths] if isinstance(paths, str) else paths:
         pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
         store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
         for entry in store.globStatus(pattern) or []:
             members = store.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
-            found += [m.getPath().toUri().toString() for m in members if m.isFile() and m.getLen() == 0]
+            found += [m.getPath().toUri().toString() for m in members
+                      if m.isFile() and m.getLen() == 0 and m.getPath().getName()[0] not in "_."]
     return found
 
 
