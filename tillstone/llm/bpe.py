@@ -17,8 +17,8 @@ from tillstone.llm.textkit import from_text
 
 # Words up to this many bytes are merged in the rank array, longer ones with a heap.
 SHORT_WORD = 96
-# Encoded words a worker remembers; at the limit it starts anew.
-CACHE_WORDS = 500_000
+# Encoded words a worker remembers; words beyond are encoded whenever they come.
+CACHE_WORDS = 250_000
 _NONE = 1 << 60
 
 
@@ -132,9 +132,7 @@ class WordCache(dict):
 
     def __missing__(self, word: str):
         value = self.make(word)
-        if len(word) <= 4 * SHORT_WORD:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
+        if len(word) <= SHORT_WORD and len(self) < CACHE_WORDS:
             self[word] = value
         return value
 

@@ -27,7 +27,7 @@ _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_BLAN
 
 
 class LibraryIds:
-    """Ids as the tokenizers library gives them, with each different word encoded once per worker."""
+    """Ids as the tokenizers library gives them, with the words a worker knows looked up."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -41,20 +41,38 @@ class LibraryIds:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word. Words side by side stay words of their own, so many are encoded in one call."""
+        out: dict[str, bytes] = {}
+        for at in range(0, len(words), 2000):
+            some = words[at:at + 2000]
+            made = self.library.encode(" ".join(some), add_special_tokens=False)
+            ids, owner = np.asarray(made.ids, "<u4"), np.asarray(made.word_ids, np.int64)
+            cuts = np.searchsorted(owner, np.arange(len(some) + 1))
+            if len(owner) and owner[-1] == len(some) - 1 and (np.diff(cuts) > 0).all():
+                out.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, cuts[:-1], cuts[1:]))
+            else:
+                out.update(zip(some, self._whole(some)))
+        return out
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
+        out: list[bytes | None] = []
+        cut: list[list[str] | None] = []
         for text in texts:
-            if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
+            plain = _PLAIN.fullmatch(text) and not any(s in text for s in self.special)
+            cut.append(_SPLIT.findall(text.lower()) if plain else None)
+        known = self.known
+        new = self._words(list(set().union(*(w for w in cut if w)).difference(known)))
+        if len(known) + len(new) <= CACHE_WORDS:
+            known.update(new)
+            new = {}
+        for text, words in zip(texts, cut):
+            if words is None:
                 out += self._whole([text])
-                continue
-            words = _SPLIT.findall(text.lower())
-            known = self.known
-            new = list({w for w in words if w not in known})
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, self._whole(new)))
-            out.append(b"".join([known[w] for w in words]))
+            elif new:
+                out.append(b"".join([known[w] if w in known else new[w] for w in words]))
+            else:
+                out.append(b"".join([known[w] for w in words]))
         return out
 
 
