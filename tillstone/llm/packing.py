@@ -88,27 +88,21 @@ def tokenized(docs: DataFrame, path: str, end_id: int, carry: list[str]) -> Data
     so both passes and any retry see the same partitions.
     """
 
-    def make(texts):
-        blobs = [b + np.asarray([end_id], "<u4").tobytes() for b in _library(path)(texts)]
-        return [pa.array([len(b) // ID_BYTES for b in blobs], pa.int64()), pa.array(blobs, pa.binary())]
-
-    lean = from_text(docs, carry, "doc_tokens BIGINT, ids BINARY", make)
-
-    def place(batches):
+    def start():
         part, total = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            sizes = np.asarray(batch.column(batch.schema.get_field_index("doc_tokens")))
+
+        def make(texts):
+            nonlocal total
+            blobs = [b + np.asarray([end_id], "<u4").tobytes() for b in _library(path)(texts)]
+            sizes = np.array([len(b) // ID_BYTES for b in blobs], np.int64)
             before = total + np.cumsum(sizes) - sizes
             total += int(sizes.sum())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(len(sizes), part), pa.int64()), pa.array(before, pa.int64())],
-                names=[*batch.schema.names, "_part", "_before"],
-            )
+            return [pa.array(sizes), pa.array(blobs, pa.binary()), pa.array(np.full(len(sizes), part), pa.int64()), pa.array(before)]
 
-    from pyspark.sql import types as T
+        return make
 
-    schema = T.StructType([*lean.schema.fields, T.StructField("_part", T.LongType()), T.StructField("_before", T.LongType())])
-    return cut_lineage(lean.mapInArrow(place, schema))
+    schema = "doc_tokens BIGINT, ids BINARY, _part BIGINT, _before BIGINT"
+    return cut_lineage(from_text(docs, carry, schema, start, per_task=True))
 
 
 def pack(docs: DataFrame, path: str, length: int = 4096, end_id: int = 2, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -129,9 +129,11 @@ def longs(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.uint64).view(np.int64)))
 
 
-def from_text(frame: DataFrame, carry: list[str], schema: str, make) -> DataFrame:
+def from_text(frame: DataFrame, carry: list[str], schema: str, make, per_task: bool = False) -> DataFrame:
     """Apply `make(texts) -> list of Arrow columns` to the text column, batch by batch.
 
+    With `per_task`, make() is called once in each task and gives the function to apply, which may keep a state.
+
     `schema` names the new columns; `carry` columns are passed on. A null text counts as empty. Only
     the carried columns and the text reach Python.
     """
@@ -140,10 +142,11 @@ def from_text(frame: DataFrame, carry: list[str], schema: str, make) -> DataFram
     fields = [*picked.schema.fields[:-1], *made.fields]
 
     def run(batches):
+        work = make() if per_task else make
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE_ROWS):
                 batch = whole.slice(at, SLICE_ROWS)
-                columns = make(batch.column(batch.num_columns - 1).to_pylist())
+                columns = work(batch.column(batch.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *made.fieldNames()]
                 )
