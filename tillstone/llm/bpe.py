@@ -18,7 +18,7 @@ from tillstone.llm.textkit import from_text
 # Words up to this many bytes are merged in the rank array, longer ones with a heap.
 SHORT_WORD = 96
 # Encoded words a worker remembers; words beyond are encoded whenever they come.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 600_000
 _NONE = 1 << 60
 
 

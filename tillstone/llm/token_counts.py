@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tillstone.llm.bpe import Vocabulary, WordCache, vocabulary
 from tillstone.llm.textkit import from_text
 
-_PAIRS = 400_000
+_PAIRS = 1_000_000
 # Fixed value: the white space of Unicode.
 _BLANK = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
 _BLANK_RUN = re.compile(r"\s\s+")
