@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tillstone.model import MERCHANTS
 from tillstone.operators.reconciliation import ReconciliationMismatch
+from tillstone.operators.intake import batch_key
 from tillstone.plans import daily_run as D
 from tillstone.sources.tables import write_partitions
 
@@ -21,6 +22,10 @@ def accounts(spark):
     )
 
 
+def key_of(spark, run_id, path):
+    return spark.range(1).select(batch_key(run_id, F.lit(f"file://{path}"))).first()[0]
+
+
 @pytest.fixture
 def inbox(tmp_path):
     folder = tmp_path / "inbox"
@@ -96,7 +101,7 @@ def test_reject_limit_holds_the_batch(spark, accounts, inbox):
         D.run_batches(spark, inbox.root, paths, 1000, accounts, limit=2)
     states = D.Store(spark, inbox.root).table("outcomes").groupBy("batch_id", "status").count().collect()
     assert {(r.batch_id, r.status): r["count"] for r in states} == {
-        ("1000-mixed.csv", "staged"): 5, ("1000-valid.csv", "validated"): 3
+        (key_of(spark, 1000, paths[0]), "staged"): 5, (key_of(spark, 1000, paths[1]), "validated"): 3
     }
 
 
@@ -104,10 +109,30 @@ def test_pending_rows_of_a_failed_run(spark, accounts, inbox):
     store = D.Store(spark, inbox.root)
     D.load(store, inbox("late.csv", VALID), 1000)
     assert store.table("intake").count() == 3
-    summary = D.run_batches(spark, inbox.root, inbox("mixed.csv", MIXED), 2000, accounts, all_pending=True)
+    path = inbox("mixed.csv", MIXED)
+    summary = D.run_batches(spark, inbox.root, path, 2000, accounts, all_pending=True)
     assert summary.totals.first().posted == 5
     rows = store.table("batch_reconciliations").collect()
-    assert [r.batch_id for r in rows] == ["2000-mixed.csv"]
+    assert [r.batch_id for r in rows] == [key_of(spark, 2000, path)]
+
+
+def test_equal_names_in_two_folders_are_two_batches(spark, accounts, inbox, tmp_path):
+    paths = []
+    for folder, cents in (("east", 41), ("west", 62)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.csv").write_text(HEADER + f"2001,,D,{cents},2025-03-10\n")
+        paths.append(str(tmp_path / folder / "x.csv"))
+    D.run_batches(spark, inbox.root, paths[:1], 1000, accounts)
+    summary = D.run_batches(spark, inbox.root, paths, 1000, accounts)
+    assert [(r.file_name, r.record_count, r.posted) for r in summary.files.collect()] == [("x.csv", 1, 1)] * 2
+    store = D.Store(spark, inbox.root)
+    assert sorted(r.amount_cents for r in store.table("transactions").collect()) == [41, 62]
+    assert store.table("batch_reconciliations").count() == 2
+    # Both in one call of another run.
+    D.run_batches(spark, inbox.root, paths, 2000, accounts)
+    again = store.table("transactions", 2000)
+    assert sorted(r.amount_cents for r in again.collect()) == [41, 62]
+    assert again.select("batch_id").distinct().count() == 2
 
 
 def test_file_without_rows(spark, accounts, inbox):
@@ -131,13 +156,14 @@ def test_lines_that_cannot_be_staged(spark, accounts, inbox):
         "9999,,  ,0,2025-03-10\r\n"
     )
     store = D.Store(spark, inbox.root)
-    D.load(store, inbox("odd.csv", text), 1000, merchants)
+    path = inbox("odd.csv", text)
+    D.load(store, path, 1000, merchants)
     rows = store.table("intake").orderBy("row_no").collect()
     assert [(r.row_no, r.problem) for r in rows] == [
         (2, None), (3, "amount_cents is not an integer"), (6, "direction is longer than one character"),
         (7, "wrong number of cells"), (8, "merchant does not exist"), (9, "txn_date is not a date"), (10, None),
     ]
-    assert str(rows[0].txn_date) == "2025-03-07" and rows[0].id == "1000-odd.csv:2"
+    assert str(rows[0].txn_date) == "2025-03-07" and rows[0].id == key_of(spark, 1000, path) + ":2"
     assert rows[-1].direction == "" and rows[-1].merchant_id is None
 
 

@@ -27,16 +27,21 @@ def file_name_of(path: Column) -> Column:
 
 
 def batch_key(run_id: int | None, path: Column) -> Column:
-    """A batch is one file of one run, so the same file in a later run is a batch of its own."""
-    name = file_name_of(path)
-    return name if run_id is None else F.concat(F.lit(f"{run_id}-"), name)
+    """A batch is one file of one run, so the same file in a later run is a batch of its own.
+
+    The key holds the name, for reading, and a hash of the whole path, since files in different
+    folders may have equal names. `file:/x` and `file:///x` are one path.
+    """
+    whole = F.substring(F.md5(F.regexp_replace(path, "^file:/+", "file:/")), 1, 16)
+    key = F.concat(file_name_of(path), F.lit("-"), whole)
+    return key if run_id is None else F.concat(F.lit(f"{run_id}-"), key)
 
 
 def unprocessed(files: DataFrame, processed: DataFrame, run_id: int) -> DataFrame:
     """Files of this run that were not taken in yet."""
-    seen = processed.where(F.col("run_id") == run_id).select("file_name").distinct()
-    named = files.withColumn("file_name", file_name_of(F.col("file")))
-    return named.join(seen, "file_name", "left_anti")
+    seen = processed.where(F.col("run_id") == run_id).select("id").distinct()
+    keyed = files.withColumn("id", batch_key(run_id, F.col("file")))
+    return keyed.join(seen, "id", "left_anti").drop("id")
 
 
 def parse_lines(lines: DataFrame, batch_id: Column) -> DataFrame:

@@ -12,7 +12,7 @@ from tillstone.sources.tables import with_status
 
 def post(validated: DataFrame) -> DataFrame:
     """Ledger rows for the validated rows; the transaction date stays behind."""
-    extra = [c for c in ("dataset_id", "scenario_id", "run_id", "file_name") if c in validated.columns]
+    extra = [c for c in ("dataset_id", "scenario_id", "run_id", "file_key") if c in validated.columns]
     return validated.where(F.col("status") == VALIDATED_STATE).select(
         F.col("id").alias("txn_id"),
         "account_id",

@@ -6,32 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from tillstone.operators.intake import file_name_of, parse_blocks, split_intake
+from tillstone.operators.intake import batch_key, parse_blocks, split_intake
 from tillstone.operators.lookups import fits_broadcast
 from tillstone.operators.posting import mark_posted, post
 from tillstone.operators.reconciliation import reconcile
 from tillstone.operators.validation import validate
 from tillstone.plans.bank import Bank, stage_orders
-from tillstone.session import scratch_path
+from tillstone.session import cut_lineage, scratch_path
 from tillstone.sources.inbound import index_blocks, pin_splits
 from tillstone.sources.tables import write_partitions
 
 FILES_PER_TRIGGER = 1000
 # A file is never split over micro-batches, so replacing whole files is safe to repeat.
-LANDING_KEY = "file_name"
+LANDING_KEY = "file_key"
 
 
 def land(staged: DataFrame, accounts: DataFrame, root: str) -> None:
     """Validate and post the staged rows of one micro-batch; both tables are keyed by file."""
-    outcomes = validate(staged, accounts).persist(StorageLevel.DISK_ONLY)
+    outcomes = cut_lineage(validate(staged, accounts))
     shuffled = not fits_broadcast(accounts)
-    try:
-        write_partitions(mark_posted(outcomes), root, "staged_transactions", [LANDING_KEY], shuffled)
-        write_partitions(post(outcomes), root, "transactions", [LANDING_KEY], shuffled)
-    finally:
-        outcomes.unpersist()
+    write_partitions(mark_posted(outcomes), root, "staged_transactions", [LANDING_KEY], shuffled)
+    write_partitions(post(outcomes), root, "transactions", [LANDING_KEY], shuffled)
 
 
 def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], root: str) -> None:
@@ -60,10 +56,10 @@ def intake_folder(spark: SparkSession, folder: str, accounts: DataFrame, root: s
     )
 
     def handle(lines: DataFrame, _epoch: int) -> None:
-        parsed = parse_blocks(index_blocks(lines), None).withColumn(LANDING_KEY, file_name_of(F.col("file")))
+        parsed = parse_blocks(index_blocks(lines), None).withColumn(LANDING_KEY, batch_key(None, F.col("file")))
         intake = split_intake(parsed)
         land(intake.staged, accounts, root)
-        quarantine = intake.quarantine.withColumn(LANDING_KEY, file_name_of(F.col("file")))
+        quarantine = intake.quarantine.withColumn(LANDING_KEY, batch_key(None, F.col("file")))
         write_partitions(quarantine, root, "quarantine", [LANDING_KEY], gather=False)
 
     run_available(stream, handle, root)
@@ -77,7 +73,7 @@ def intake_orders(spark: SparkSession, folder: str) -> DataFrame:
         spark.readStream.schema(orders.schema)
         .option("maxFilesPerTrigger", FILES_PER_TRIGGER)
         .parquet(f"{folder}/orders.parquet*")
-        .select("*", file_name_of(F.col("_metadata.file_path")).alias(LANDING_KEY))
+        .select("*", batch_key(None, F.col("_metadata.file_path")).alias(LANDING_KEY))
     )
 
     def handle(rows: DataFrame, _epoch: int) -> None:
