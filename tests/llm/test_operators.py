@@ -64,6 +64,14 @@ def test_counts_and_ids_are_those_of_the_library(odd_docs):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) in texts[r.doc_id]
 
 
+def test_decoding_a_table_of_ids(spark, odd_docs):
+    table = bpe.decode_documents(bpe.encode_documents(odd_docs, BYTE, ["doc_id", "text"]), BYTE)
+    for r in table.collect():
+        assert r.decoded == (r.text or "")
+    loose = spark.createDataFrame([(1, None), (2, []), (3, [10**6])], "doc_id INT, ids ARRAY<INT>")
+    assert {r.doc_id: r.decoded for r in bpe.decode_documents(loose, BYTE).collect()} == {1: None, 2: "", 3: ""}
+
+
 @pytest.mark.parametrize("text", ["a  b\n\n c   ", "don't they're 'r", "x 日本́ \xa0\xa0y", "\n\n\n", "12  345 ab!! ??", " \t \r\n'll"])
 def test_every_prefix_has_its_exact_count(text):
     library = Tokenizer.from_file(BYTE)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstone.llm.textkit import from_text
+from tillstone.llm.textkit import SLICE_ROWS, from_text
 
 # Words up to this many bytes are merged in the rank array, longer ones with a heap.
 SHORT_WORD = 96
@@ -155,6 +155,18 @@ def encode_text(text: str, path: str) -> bytes:
     return b"".join(out)
 
 
+def _ids_column(blobs: list[bytes]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(b) // 4 for b in blobs]))).astype(np.int32)
+    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(blobs))])
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def decode_ids(ids: list[int], path: str) -> str:
+    """The text of ids; an id outside the vocabulary stands for nothing, bytes that are no UTF-8 are replaced."""
+    table = vocabulary(path).bytes_of
+    return b"".join([table.get(i, b"") for i in ids]).decode("utf-8", "replace")
+
+
 def encode_documents(docs: DataFrame, path: str, carry: list[str]) -> DataFrame:
     """carry columns and `ids` (array<int>): the whole text encoded, special strings as special tokens.
 
@@ -163,10 +175,7 @@ def encode_documents(docs: DataFrame, path: str, carry: list[str]) -> DataFrame:
     """
 
     def make(texts):
-        blobs = [encode_text(t, path) for t in texts]
-        offsets = np.concatenate(([0], np.cumsum([len(b) // 4 for b in blobs]))).astype(np.int32)
-        values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(blobs))])
-        return [pa.ListArray.from_arrays(pa.array(offsets), values)]
+        return [_ids_column([encode_text(t, path) for t in texts])]
 
     return from_text(docs, carry, "ids ARRAY<INT>", make)
 
@@ -180,19 +189,28 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches):
-        table = vocabulary(path).bytes_of
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index("ids"))
-            texts = [None if ids is None else b"".join([table.get(i, b"") for i in ids]).decode("utf-8", "replace")
-                     for ids in column.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema=None, names=[*batch.schema.names, "decoded"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                column = batch.column(batch.schema.get_field_index("ids"))
+                texts = [None if not ids.is_valid else decode_ids(ids.values.to_pylist(), path) for ids in column]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
-    both = decode_documents(encode_documents(docs, path, ["doc_id"]), path)
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row.
+
+    Ids are decoded where they were made, so a text takes one way through Python.
+    """
+
+    def make(texts):
+        blobs = [encode_text(t, path) for t in texts]
+        decoded = [decode_ids(np.frombuffer(b, "<i4").tolist(), path) for b in blobs]
+        return [_ids_column(blobs), pa.array(decoded, pa.string())]
+
+    both = from_text(docs, ["doc_id"], "ids ARRAY<INT>, decoded STRING", make)
     return both.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.size("ids").cast("bigint").alias("n_tokens"),
