@@ -47,3 +47,21 @@ def test_stages_keep_the_columns(spark):
         assert out.columns == docs.columns, name
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
     assert corpus_pipeline.mask_secrets(spark, docs, FOLDER).where("doc_id = 2").first().text == "five words are in here. " + "*" * 15
+
+
+CLASHING = ["keep", "kept", "_kept", "_text", "spans", "blob", "score", "posterior", "votes", "component_id", "keep_id",
+            "group_size", "_part", "_before", "ids", "size", "shard", "key", "start", "length", "offset"]
+
+
+def test_extra_columns_may_have_any_name(spark):
+    text = "five words are in here. token=abcdefgh1"
+    rows = [(i, t, *[f"{n}{i}" for n in CLASHING]) for i, t in ((1, text), (2, text), (3, None), (None, "a text without an id is kept"))]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id BIGINT", "text STRING", *[f"`{n}` STRING" for n in CLASHING]]))
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, FOLDER)
+        assert left.columns == docs.columns, name
+    kept = {r.doc_id: r for r in left.collect()}
+    assert set(kept) == {1, None} and all(kept[1][n] == f"{n}1" for n in CLASHING)
+    assert kept[1].text == "five words are in here. " + "*" * 15
+    assert corpus_pipeline.pack_sequences(spark, left, FOLDER).count() == 2
