@@ -173,3 +173,15 @@ def test_partition_writes_replace_only_their_own(spark, tmp_path):
     write_partitions(frame, root, "t", ["batch_id"])
     write_partitions(frame.where("batch_id = 'a'").withColumn("v", F.lit(9)), root, "t", ["batch_id"])
     assert sorted(map(tuple, spark.read.parquet(f"{root}/t").collect())) == [(2, "b"), (9, "a")]
+
+
+def test_a_stage_that_dies_leaves_a_failed_control_row(spark, tmp_path):
+    store = D.Store(spark, str(tmp_path / "store"))
+    seen = []
+    with pytest.raises(ZeroDivisionError):
+        with store.stage(7, "load_transactions") as done:
+            seen += [(r.status, r.finished_at) for r in store.table("stage_runs").collect()]
+            done["count"] = 3 // 0
+    assert seen == [("running", None)]
+    (row,) = store.table("stage_runs").collect()
+    assert (row.run_id, row.status, row.record_count) == (7, "failed", None) and row.finished_at is not None

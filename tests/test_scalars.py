@@ -46,7 +46,8 @@ def test_media_type(spark):
 
 
 @pytest.mark.parametrize(
-    "body, is_json", [('{"a":1}', True), ("[1]", True), ("{broken", False), ("5", False), ("idle", False), ("", False)]
+    "body, is_json", [('{"a":1}', True), ("[1]", True), ("{broken", False), ("5", False), ("idle", False), ("", False),
+                      ('{"a":1,"a":2}', True), ('{"a":1} rest', True), ('{"a":{"b":}}', False), ("[1, {]", False), ("[idle", False)]
 )
 def test_json_probe(spark, body, is_json):
     assert one(spark, S.is_json_document(F.lit(body))) is is_json

@@ -57,8 +57,12 @@ def media_type(header: Column) -> Column:
 
 
 def is_json_document(body: Column) -> Column:
-    opens = body.startswith("{") | body.startswith("[")
-    return F.when(opens, F.try_parse_json(body).isNotNull()).otherwise(F.lit(False))
+    """Whether a body holds a JSON object or array; repeated members and text after its end do not matter."""
+    return (
+        F.when(body.startswith("{"), F.json_object_keys(body).isNotNull())
+        .when(body.startswith("["), F.json_array_length(body).isNotNull())
+        .otherwise(F.lit(False))
+    )
 
 
 def elapsed_micros(started: Column, finished: Column) -> Column:

@@ -97,14 +97,15 @@ def _entry(field: Column, expected: Column, actual: Column, equal: Column) -> Co
 def compare_fields(actual: Outputs, baseline: Outputs) -> DataFrame:
     """Every compared field: dataset_id, field, expected, actual, equal.
 
-    Rows are compared only where both sides posted the same number; then a baseline row without a
-    counterpart meets nulls. Messages are compared pair by pair as far as both lists reach.
+    A dataset that only one side knows is compared with zeros. Rows are compared only where both sides
+    posted the same number; then a baseline row without a counterpart meets nulls. Messages are compared
+    pair by pair as far as both lists reach.
     """
     have = F.struct(*[F.col(c).alias(c) for _, c in SCALAR_FIELDS])
+    nothing = F.struct(*[F.lit(0).cast("bigint").alias(c) for _, c in SCALAR_FIELDS])
+    sides = baseline.metrics.select(KEY, have.alias("b")).join(actual.metrics.select(KEY, have.alias("a")), KEY, "full")
     # One row per dataset, used three times below.
-    both = cut_lineage(
-        baseline.metrics.select(KEY, have.alias("b")).join(actual.metrics.select(KEY, have.alias("a")), KEY)
-    )
+    both = cut_lineage(sides.select(KEY, F.coalesce("b", nothing).alias("b"), F.coalesce("a", nothing).alias("a")))
     scalars = both.select(KEY, F.explode(F.array(*[
         _entry(F.lit(field), F.col(f"b.{c}"), F.col(f"a.{c}"), F.col(f"b.{c}") == F.col(f"a.{c}"))
         for field, c in SCALAR_FIELDS

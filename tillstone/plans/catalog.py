@@ -15,6 +15,7 @@ from tillstone.operators.lookups import in_scope, orphan_counts
 from tillstone.operators.posting import mark_posted
 from tillstone.operators.ranking import positional_index
 from tillstone.operators.validation import accepted, hold_failed_batches, reject_counts
+from tillstone.plans import file_path
 from tillstone.plans.bank import Bank, batch_file, scenario_of
 from tillstone.sources.tables import as_json, latest_status, scoped
 from tillstone.streaming.intake_stream import intake_orders
@@ -65,16 +66,8 @@ def job_durations(bank: Bank) -> DataFrame:
     )
 
 
-@query
-def run_isolation(bank: Bank) -> DataFrame:
-    """The same input taken in by two runs gives two independent sets of batches."""
-    staged = bank.staged_table()
-    twice = staged.withColumn("run", F.explode(F.array(F.lit(1), F.lit(2))))
-    keyed = twice.withColumn("batch_id", F.concat_ws("-", "run", "batch_id"))
-    ledger = bank.ledger().withColumn("run", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
-        "batch_id", F.concat_ws("-", "run", "batch_id")
-    )
-    return reconciliation.reconcile(keyed, ledger)
+for file_query in (file_path.file_intake, file_path.control_rows, file_path.run_isolation):
+    query(file_query)
 
 
 @query
@@ -334,24 +327,24 @@ def document_positions(bank: Bank) -> DataFrame:
 
 @query
 def field_compare(bank: Bank) -> DataFrame:
-    return verification.compare_fields(bank.outputs(), bank.legacy_outputs())
+    return verification.compare_fields(*bank.compared())
 
 
 @query
 def approval_classify(bank: Bank) -> DataFrame:
-    compared = verification.compare_fields(bank.outputs(), bank.legacy_outputs())
+    compared = verification.compare_fields(*bank.compared())
     return verification.classify(compared, bank.approvals())
 
 
 @query
 def verification_rollup(bank: Bank) -> DataFrame:
-    return verification.verify(bank.outputs(), bank.legacy_outputs(), bank.approvals())[1]
+    return verification.verify(*bank.compared(), bank.approvals())[1]
 
 
 @query
 def verification_report(bank: Bank) -> DataFrame:
     """The results as JSON texts, one per dataset."""
-    return as_json(verification.verify(bank.outputs(), bank.legacy_outputs(), bank.approvals())[1])
+    return as_json(verification.verify(*bank.compared(), bank.approvals())[1])
 
 
 # -- contracts and replays ----------------------------------------------------------------------

@@ -1,14 +1,15 @@
 """A whole run over inbound files: load, validate, post, reconcile, report, gate.
 
-Every stage writes its table partitioned by (run_id, batch_id) and appends one control row when it is
-done. Repeating a stage replaces exactly its own partitions, so a run can be started again after a
+Every stage writes its table partitioned by (run_id, batch_id) and keeps one control row, which says
+running until the stage has completed or failed. Repeating a stage replaces exactly its own partitions, so a run can be started again after a
 failure. Row states are never updated in place: the staged table of a run is what validation wrote,
 and counts as posted once the posting stage of that run has completed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -82,14 +83,26 @@ class Store:
     def write_run(self, frame: DataFrame, name: str, run_id: int, gather: bool = True) -> None:
         write_run(frame, self.root, name, run_id, ["batch_id"], gather)
 
-    def close_stage(self, run_id: int, job: str, status: str, count: int | None) -> None:
-        """One control row per run and stage; closing a stage again replaces its row."""
+    @contextmanager
+    def stage(self, run_id: int, job: str) -> Iterator[dict[str, int]]:
+        """Keep the control row of a stage: running, then completed, or failed when it raises."""
+        done: dict[str, int] = {}
+        self._mark(run_id, job, "running", None)
+        try:
+            yield done
+        except BaseException:
+            self._mark(run_id, job, "failed", done.get("count"))
+            raise
+        self._mark(run_id, job, "completed", done["count"])
+
+    def _mark(self, run_id: int, job: str, status: str, count: int | None) -> None:
+        """One control row per run and stage; a later one replaces it."""
         row = self.spark.range(1).select(
             F.lit(run_id).cast("bigint").alias("run_id"),
             F.lit(job).alias("job_name"),
             F.lit(status).alias("status"),
             run_started(F.lit(run_id)).alias("started_at"),
-            F.current_timestamp().alias("finished_at"),
+            (F.lit(None).cast("timestamp") if status == "running" else F.current_timestamp()).alias("finished_at"),
             F.lit(count).cast("bigint").alias("record_count"),
         )
         self.write(row, "stage_runs", ["run_id", "job_name"])
@@ -112,19 +125,19 @@ class Store:
 
 def load(store: Store, paths: str | Sequence[str], run_id: int, merchants: DataFrame | None = None) -> None:
     """Take in the listed files, each as one batch; a file already taken in by this run is left out."""
-    files = list_files(store.spark, paths).select("file")
-    waiting = unprocessed(files, store.table("batches", run_id), run_id)
-    fresh = [unquote(row.file) for row in waiting.select("file").collect()]
-    if fresh:
-        parsed = parse_files(store.spark, fresh, run_id, merchants)
-        shuffled = merchants is not None and not fits_broadcast(merchants)
-        store.write(parsed.withColumn("run_id", F.lit(run_id).cast("bigint")), "intake", gather=shuffled)
-        register = batch_register(
-            list_files(store.spark, fresh), split_intake(store.table("intake", run_id)).staged, run_id
-        )
-        store.write(register.withColumn("batch_id", F.col("id")), "batches")
-    count = split_intake(store.table("intake", run_id)).staged.count()
-    store.close_stage(run_id, LOAD_JOB, "completed", count)
+    with store.stage(run_id, LOAD_JOB) as done:
+        files = list_files(store.spark, paths).select("file")
+        waiting = unprocessed(files, store.table("batches", run_id), run_id)
+        fresh = [unquote(row.file) for row in waiting.select("file").collect()]
+        if fresh:
+            parsed = parse_files(store.spark, fresh, run_id, merchants)
+            shuffled = merchants is not None and not fits_broadcast(merchants)
+            store.write(parsed.withColumn("run_id", F.lit(run_id).cast("bigint")), "intake", gather=shuffled)
+            register = batch_register(
+                list_files(store.spark, fresh), split_intake(store.table("intake", run_id)).staged, run_id
+            )
+            store.write(register.withColumn("batch_id", F.col("id")), "batches")
+        done["count"] = split_intake(store.table("intake", run_id)).staged.count()
 
 
 def pending_runs(store: Store, job: str) -> list[int]:
@@ -135,32 +148,34 @@ def pending_runs(store: Store, job: str) -> list[int]:
 
 def validate_run(store: Store, run_id: int, accounts: DataFrame, limit: int = REJECT_LIMIT) -> None:
     """Judge the staged rows of a run; a batch over the reject limit stays staged and fails the stage."""
-    staged = split_intake(store.table("intake", run_id)).staged
-    store.write_run(validate(staged, accounts), "outcomes", run_id, gather=not fits_broadcast(accounts))
-    judged = store.table("outcomes", run_id)
-    over = reject_counts(judged, limit).where(~F.col("within_limit")).count()
-    if over:
-        store.write_run(hold_failed_batches(judged, limit), "held_outcomes", run_id)
-        store.write_run(store.table("held_outcomes", run_id), "outcomes", run_id)
+    with store.stage(run_id, VALIDATE_JOB) as done:
+        staged = split_intake(store.table("intake", run_id)).staged
+        store.write_run(validate(staged, accounts), "outcomes", run_id, gather=not fits_broadcast(accounts))
         judged = store.table("outcomes", run_id)
-    store.write_run(reject_log(judged), "batch_job_errors", run_id, gather=False)
-    count = judged.where(F.col("status") != STAGED_STATE).count()
-    store.close_stage(run_id, VALIDATE_JOB, "failed" if over else "completed", count)
-    if over:
-        raise StageFailed(f"{over} batch(es) of run {run_id} have more than {limit} rejects")
+        over = reject_counts(judged, limit).where(~F.col("within_limit")).count()
+        if over:
+            store.write_run(hold_failed_batches(judged, limit), "held_outcomes", run_id)
+            store.write_run(store.table("held_outcomes", run_id), "outcomes", run_id)
+            judged = store.table("outcomes", run_id)
+        store.write_run(reject_log(judged), "batch_job_errors", run_id, gather=False)
+        done["count"] = judged.where(F.col("status") != STAGED_STATE).count()
+        if over:
+            raise StageFailed(f"{over} batch(es) of run {run_id} have more than {limit} rejects")
 
 
 def post_run(store: Store, run_id: int) -> None:
-    store.write_run(post(store.table("outcomes", run_id)), "transactions", run_id, gather=False)
-    store.close_stage(run_id, POST_JOB, "completed", store.table("transactions", run_id).count())
+    with store.stage(run_id, POST_JOB) as done:
+        store.write_run(post(store.table("outcomes", run_id)), "transactions", run_id, gather=False)
+        done["count"] = store.table("transactions", run_id).count()
 
 
 def reconcile_run(store: Store, run_id: int) -> DataFrame:
     """Write the reconciliation rows of a run, mismatches included, and return them."""
-    staged = store.staged_transactions().where(F.col("run_id") == run_id)
-    store.write_run(reconcile(staged, store.table("transactions", run_id)), "batch_reconciliations", run_id)
-    written = store.table("batch_reconciliations", run_id)
-    store.close_stage(run_id, RECONCILE_JOB, "completed", written.count())
+    with store.stage(run_id, RECONCILE_JOB) as done:
+        staged = store.staged_transactions().where(F.col("run_id") == run_id)
+        store.write_run(reconcile(staged, store.table("transactions", run_id)), "batch_reconciliations", run_id)
+        written = store.table("batch_reconciliations", run_id)
+        done["count"] = written.count()
     return written
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from tillstone.plans.catalog import RUN_SINCE, TIGHT_LIMIT
+from tillstone.plans.file_path import RUNS
 
 # Whitespace characters that are cut from the ends of a text.
 _WS = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}]"
@@ -143,15 +144,20 @@ VIEWS: dict[str, str] = {
   SELECT dataset_id, trim(error_message) AS text,
          row_number() OVER (PARTITION BY dataset_id ORDER BY trim(error_message)) - 1 AS idx
   FROM b_errors""",
+    "b_baseline_side": """
+  SELECT * FROM b_legacy_metrics WHERE NOT ends_with(dataset_id, '11/5-LOW')""",
+    "b_run_side": """
+  SELECT * FROM b_actual_metrics WHERE NOT ends_with(dataset_id, '12/5-LOW')""",
     "b_compared": f"""
   SELECT dataset_id, f.field, CAST(f.e AS VARCHAR) AS expected, CAST(f.a AS VARCHAR) AS actual, f.e = f.a AS equal
-  FROM (SELECT b.dataset_id, unnest([
-          {{'field': 'stagedCount', 'e': b.staged_count, 'a': a.staged_count}},
-          {{'field': 'postedCount', 'e': b.posted_count, 'a': a.posted_count}},
-          {{'field': 'rejectedCount', 'e': b.rejected_count, 'a': a.rejected_count}},
-          {{'field': 'errorCount', 'e': b.error_count, 'a': a.error_count}},
-          {{'field': 'totalPostedCents', 'e': b.total_posted_cents, 'a': a.total_posted_cents}}]) AS f
-        FROM b_legacy_metrics b JOIN b_actual_metrics a USING (dataset_id))
+  FROM (SELECT dataset_id, unnest([
+          {{'field': 'stagedCount', 'e': coalesce(b.staged_count, 0), 'a': coalesce(a.staged_count, 0)}},
+          {{'field': 'postedCount', 'e': coalesce(b.posted_count, 0), 'a': coalesce(a.posted_count, 0)}},
+          {{'field': 'rejectedCount', 'e': coalesce(b.rejected_count, 0), 'a': coalesce(a.rejected_count, 0)}},
+          {{'field': 'errorCount', 'e': coalesce(b.error_count, 0), 'a': coalesce(a.error_count, 0)}},
+          {{'field': 'totalPostedCents', 'e': coalesce(b.total_posted_cents, 0),
+            'a': coalesce(a.total_posted_cents, 0)}}]) AS f
+        FROM b_baseline_side b FULL JOIN b_run_side a USING (dataset_id))
   UNION ALL
   SELECT dataset_id, concat('transactions[', idx, '].', f.field), f.e, f.a, f.e IS NOT DISTINCT FROM f.a
   FROM (SELECT b.dataset_id, b.idx, unnest([
@@ -159,12 +165,13 @@ VIEWS: dict[str, str] = {
           {{'field': 'amountCents', 'e': CAST(b.amount_cents AS VARCHAR), 'a': CAST(a.amount_cents AS VARCHAR)}},
           {{'field': 'description', 'e': b.description, 'a': a.description}}]) AS f
         FROM b_legacy_rows b
-        JOIN b_legacy_metrics bm USING (dataset_id) JOIN b_actual_metrics am USING (dataset_id)
+        JOIN b_baseline_side bm USING (dataset_id) JOIN b_run_side am USING (dataset_id)
         LEFT JOIN b_actual_rows a ON a.dataset_id = b.dataset_id AND a.idx = b.idx
         WHERE bm.posted_count = am.posted_count)
   UNION ALL
   SELECT b.dataset_id, concat('errors[', b.idx, '].errorMessage'), b.text, a.text, b.text = a.text
-  FROM b_legacy_texts b JOIN b_actual_texts a USING (dataset_id, idx)""",
+  FROM b_legacy_texts b JOIN b_actual_texts a USING (dataset_id, idx)
+  WHERE dataset_id IN (SELECT dataset_id FROM b_baseline_side) AND dataset_id IN (SELECT dataset_id FROM b_run_side)""",
     "b_approvals": """
   SELECT dataset_id, ord, field, ev, av,
          CASE WHEN signer = 'late' THEN CASE WHEN dataset_id >= '199801' THEN 'a.reviewer' ELSE ' ' END
@@ -205,6 +212,11 @@ VIEWS: dict[str, str] = {
          CASE WHEN merchant_id = 3003 AND direction = 'D' THEN strftime(txn_date, '%m/%d/%Y')
               ELSE strftime(txn_date, '%Y-%m-%d') END AS day
   FROM b_staged""",
+    "b_lines": """
+  SELECT o.*, c.amount, CASE WHEN account = '' THEN 'account_id is not an integer'
+                   WHEN merchant = 'abc' THEN 'merchant_id is not an integer'
+                   WHEN ends_with(amount, '.0') THEN 'amount_cents is not an integer' END AS problem
+  FROM b_outcomes o JOIN b_file_cells c ON c.row_no = o.id + 2""",
     "b_file_checked": """
 SELECT * FROM b_file_cells WHERE month NOT IN (2, 8, 10)""",
     "b_files": """
@@ -289,12 +301,12 @@ SELECT DISTINCT batch_id % 100 AS month, concat('ach_', batch_id, '.csv') AS fil
                          WHEN 'click' THEN 'pipeline_running' END AS scenario,
          CASE WHEN event_type = 'error' THEN 500 WHEN event_type = 'signup' AND value < 100 THEN 409 ELSE 200 END AS status,
          CASE WHEN value < 150 THEN 'text/plain' WHEN value < 200 THEN 'application/json' ELSE '' END AS media,
-         coalesce(CASE WHEN value < 60 THEN good WHEN value < 80 THEN props WHEN value < 120 THEN upper(good)
-                       WHEN value < 160 THEN '[' || good END, '') AS body,
-         coalesce(value >= 60 AND value < 80, false) AS is_json
+         coalesce(CASE WHEN value < 60 THEN good WHEN value < 70 THEN props
+                       WHEN value < 80 THEN concat('{"id": 0, "id": ', event_id, '}') WHEN value < 120 THEN upper(good)
+                       WHEN value < 160 THEN '[' || good END, '') AS body
   FROM b_events
   UNION ALL
-  SELECT concat('turn-', conv_id, '-', turn), 'API-BATCH-RUN-001', role, 200, 'text/plain', coalesce(text, ''), false
+  SELECT concat('turn-', conv_id, '-', turn), 'API-BATCH-RUN-001', role, 200, 'text/plain', coalesce(text, '')
   FROM conversations""",
     "b_response_findings": f"""
   SELECT response_id AS subject, r.contract_id || '-' || f.kind AS rule_id, 'FAIL' AS severity,
@@ -318,7 +330,8 @@ SELECT DISTINCT batch_id % 100 AS month, concat('ach_', batch_id, '.csv') AS fil
           {{'kind': 'BODY-PREFIX', 'bad': NOT starts_with(r.body, s.prefix),
             'd': concat('Response body does not start with expected prefix for scenario ''', r.scenario, ''''),
             'e': concat('body starts with: "', s.prefix, '"'), 'a': concat('body: "', r.body, '"')}},
-          {{'kind': 'PLAINTEXT', 'bad': s.want_status IS NOT NULL AND r.is_json,
+          {{'kind': 'PLAINTEXT',
+            'bad': s.want_status IS NOT NULL AND regexp_matches(r.body, '^[\\[{{]') AND json_valid(r.body),
             'd': concat('Response body is valid JSON but contract requires plain text for scenario ''',
                         r.scenario, ''''),
             'e': 'content-type: text/plain, non-JSON body', 'a': concat('body parses as JSON: ', r.body)}}]) AS f
@@ -566,9 +579,22 @@ SELECTS: dict[str, str] = {
              ELSE printf('%.1fs', epoch_us(finished_at) / 1e6 - epoch_us(started_at) / 1e6) END AS duration,
         strftime(started_at, '%Y-%m-%d %H:%M:%S') AS started, strftime(started_at, '%Y%m%d_%H%M%S') AS stamp,
         epoch_ms(started_at) AS run_id FROM b_jobs""",
-    "run_isolation": """SELECT concat(run, '-', batch_id) AS batch_id, staged_count, staged_count AS posted_count,
-        staged_total_cents, staged_total_cents AS posted_total_cents, true AS counts_match, true AS totals_match
-        FROM b_recon, (VALUES (1), (2)) r(run)""",
+    "file_intake": """SELECT batch_id // 100 AS year, problem, count(*) AS row_count,
+        CAST(sum(CASE WHEN NOT ends_with(amount, '.0') THEN amount_cents END) AS BIGINT) AS total_cents,
+        min(txn_date) AS first_date, max(txn_date) AS last_date, count(problem) AS kept_lines
+        FROM b_lines GROUP BY 1, 2""",
+    "control_rows": f"""SELECT {RUNS[0]} AS run_id, job_name, 'completed' AS status, record_count, true AS finished FROM (
+        SELECT 'load_transactions' AS job_name, count(*) AS record_count FROM b_lines WHERE problem IS NULL
+        UNION ALL SELECT 'validate_transactions', count(*) FROM b_lines WHERE problem IS NULL
+        UNION ALL SELECT 'post_transactions', count(*) FROM b_lines WHERE problem IS NULL AND status = 'validated'
+        UNION ALL SELECT 'reconcile_batches', NULL)""",
+    "run_isolation": f"""SELECT run_id, batch_id // 100 AS year, count(*) AS loaded_count,
+        count(*) FILTER (status = 'rejected') AS error_count, count(*) FILTER (status = 'validated') AS ledger_count,
+        count(*) FILTER (status = 'validated') AS staged_count, count(*) FILTER (status = 'validated') AS posted_count,
+        CAST(coalesce(sum(amount_cents) FILTER (status = 'validated'), 0) AS BIGINT) AS staged_total_cents,
+        CAST(coalesce(sum(amount_cents) FILTER (status = 'validated'), 0) AS BIGINT) AS posted_total_cents,
+        true AS counts_match, true AS totals_match
+        FROM b_lines, (VALUES ({RUNS[0]}), ({RUNS[1]})) r(run_id) WHERE problem IS NULL GROUP BY 1, 2""",
     "incremental_intake": """SELECT batch_id, staged_count, staged_count AS posted_count, staged_total_cents,
         staged_total_cents AS posted_total_cents, true AS counts_match, true AS totals_match FROM b_recon""",
     "validate_rules": "SELECT id, batch_id, status, error_message FROM b_outcomes",
@@ -601,8 +627,11 @@ SELECTS: dict[str, str] = {
         WHERE EXISTS (SELECT 1 FROM b_table t WHERE t.batch_id = b.id AND t.status = 'posted')""",
     "distinct_batches": "SELECT DISTINCT batch_id FROM b_outcomes WHERE status = 'validated'",
     "collector_metrics": """SELECT dataset_id, staged_count, posted_count, rejected_count, error_count,
-        posted_count AS ledger_count, total_posted_cents, true AS counts_match, true AS totals_match
-        FROM b_actual_metrics""",
+        posted_count AS ledger_count, total_posted_cents,
+        posted_count = 0 OR posted_count = coalesce(l.n, 0) AS counts_match,
+        posted_count = 0 OR total_posted_cents = coalesce(l.total, 0) AS totals_match
+        FROM b_actual_metrics LEFT JOIN (SELECT dataset_id, count(*) AS n, CAST(sum(amount_cents) AS BIGINT) AS total
+                                         FROM b_faulty GROUP BY 1) l USING (dataset_id)""",
     "collector_transactions": """SELECT dataset_id, account_id, merchant_id, direction,
         CAST(amount_cents AS BIGINT) AS amount_cents, description, CAST(txn_id AS VARCHAR) AS ref FROM b_ledger""",
     "collector_errors": "SELECT dataset_id, error_message, record_ref FROM b_errors",
