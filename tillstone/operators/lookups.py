@@ -17,9 +17,9 @@ MEASURED_BYTES = 256 << 20
 
 def broadcast_limit(frame: DataFrame) -> int:
     setting = frame.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    scale = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    digits = setting.rstrip("bkmg")
-    return int(digits) * scale.get(setting[len(digits):] or "b", 1)
+    digits = setting.rstrip("bkmgtp")
+    unit = setting[len(digits):].removesuffix("b")
+    return int(digits) << 10 * ["", "k", "m", "g", "t", "p"].index(unit)
 
 
 def estimated_bytes(frame: DataFrame) -> int:

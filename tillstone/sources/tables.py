@@ -21,7 +21,7 @@ def read_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFr
 
 
 def scoped(frame: DataFrame, status: str | None = None, batch_id=None) -> DataFrame:
-    """Rows of one status and/or one batch; both reach the scan as filters."""
+    """Rows of one status and/or one batch; both reach the scan as filters where they are stored columns."""
     if status is not None:
         frame = frame.where(F.col("status") == status)
     if batch_id is not None:
