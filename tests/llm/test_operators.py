@@ -293,3 +293,21 @@ def test_quality_against_held_out_labels(spark):
 def test_quality_of_odd_texts(odd_docs):
     got = {r.doc_id: r.keep for r in quality.quality(odd_docs, ["doc_id", "key"]).collect()}
     assert not got[0] and not got[1] and got[4]
+
+
+def test_neighbour_search_ends_by_itself(spark):
+    angles = np.arange(14) * 0.1
+    vectors = spark.createDataFrame([(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(angles)], "id BIGINT, v ARRAY<DOUBLE>")
+    codes = neighbours._codes(vectors)
+    edges = spark.range(13).select("id", (F.col("id") + 1).alias("near"), F.lit(0.9).cast("float").alias("sim"))
+    found = neighbours.greedy_search(spark.range(1), codes, edges)
+    assert sorted(r.node for r in found.collect()) == list(range(14))
+    with pytest.raises(RuntimeError):
+        neighbours.greedy_search(spark.range(1), codes, edges, steps=3)
+
+
+def test_neighbour_graph_must_settle(spark):
+    vectors = np.random.default_rng(3).normal(0, 1, (150, 8))
+    codes = neighbours._codes(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id BIGINT, v ARRAY<DOUBLE>"))
+    with pytest.raises(RuntimeError):
+        neighbours.build_graph(codes, 8, 4, rounds=1, changed=0.0)

@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 
 from tillstone.session import cut_lineage
 
-# Neighbours of a node, neighbours from the other direction that join in, rounds, and pairs a node of a
-# neighbourhood hands on per round.
+# Neighbours of a node, neighbours from the other direction that join in, and pairs a node of a neighbourhood
+# hands on per round.
 DEGREE = 32
 REVERSE = 16
-ROUNDS = 3
 HANDED = 4
-# Nodes a search keeps, steps at most, and found nodes that are measured exactly.
+# The graph is ready when a round replaces at most this share of its edges; a graph that still changes more
+# after ROUNDS rounds is an error.
+CHANGED = 0.005
+ROUNDS = 60
+# Nodes a search keeps, steps after which a search that has not ended is an error, and found nodes that are
+# measured exactly.
 BEAM = 256
-STEPS = 10
+STEPS = 500
 EXACT = 32
 
 
@@ -91,13 +95,19 @@ def _best(rows: DataFrame, owner: str, item: str, n: int, *extra: Column) -> Dat
     return merged.withColumn("_r", F.row_number().over(ranked)).where(F.col("_r") <= n).drop("_r")
 
 
-def build_graph(codes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, rounds: int = ROUNDS) -> DataFrame:
+def _forget_shuffles(frame: DataFrame) -> None:
+    """Let Spark delete the shuffle files of finished rounds, else they stay until the driver collects its garbage."""
+    frame.sparkSession._jvm.System.gc()
+
+
+def build_graph(codes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, rounds: int = ROUNDS, changed: float = CHANGED) -> DataFrame:
     """Edges (id, near, sim) of the neighbour graph.
 
     It starts from random groups. Each round joins every node with its neighbours and with some nodes that
     have it as a neighbour, compares these neighbours with each other, and keeps the best `degree` of each
     node. Nodes taken from the other direction are drawn by hash, `reverse` per node and round: the sample
-    is part of NN-descent, and the search later compares what it missed.
+    is part of NN-descent, and the search later compares what it missed. Rounds go on until one brings at
+    most the share `changed` of new edges; `rounds` only guards against a graph that never settles.
     """
     total = codes.count()
     crowds = max(1, total // (degree + 1))
@@ -108,7 +118,9 @@ def build_graph(codes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE,
         found = _compare_within(dealt, degree)
         edges = found if edges is None else edges.unionAll(found)
     edges = cut_lineage(_best(edges, "id", "near", degree))
-    for turn in range(rounds if crowds > 1 else 0):
+    if crowds == 1:
+        return edges
+    for turn in range(rounds):
         drawn = Window.partitionBy("near").orderBy(F.xxhash64("id", F.lit(turn)))
         back = edges.withColumn("_r", F.row_number().over(drawn)).where(F.col("_r") <= reverse)
         places = edges.select(F.col("id").alias("g"), F.col("near").alias("id")).unionAll(
@@ -119,16 +131,22 @@ def build_graph(codes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE,
             "id", "code", F.when(F.col("n") >= degree, F.col("low")).otherwise(F.lit(-2.0)).cast("float").alias("floor")
         )
         found = _compare_within(places.join(known, "id"), HANDED)
-        edges = cut_lineage(_best(edges.unionAll(found), "id", "near", degree))
-    return edges
+        both = edges.withColumn("new", F.lit(0)).unionAll(found.withColumn("new", F.lit(1)))
+        merged = cut_lineage(_best(both, "id", "near", degree, F.min("new").alias("new")))
+        edges = merged.drop("new")
+        _forget_shuffles(codes)
+        if merged.agg(F.avg("new")).first()[0] <= changed:
+            return edges
+    raise RuntimeError(f"the neighbour graph still changes after {rounds} rounds")
 
 
 def greedy_search(queries: DataFrame, codes: DataFrame, edges: DataFrame, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
     """(q, node, sim): the nodes each query keeps, by walking the graph from the query's own node.
 
     Each step expands all kept nodes that were not expanded before and keeps the best `beam` of old and new;
-    it ends when nothing is left to expand. An edge list carries its neighbours' codes, so a step is one join
-    and the similarities are computed where it meets the query.
+    it ends when nothing is left to expand, and one that has not ended after `steps` is an error. An edge list
+    carries its neighbours' codes, so a step is one join and the similarities are computed where it meets the
+    query.
     """
     lists = cut_lineage(
         edges.join(codes.select(F.col("id").alias("near"), "code"), "near").groupBy("id")
@@ -160,9 +178,10 @@ def greedy_search(queries: DataFrame, codes: DataFrame, edges: DataFrame, beam:
         ahead = state.where(~F.col("done")).select("q", "node").join(limits, "q").join(lists, "node")
         found = ahead.select("q", "q_code", "floor", "links").mapInArrow(run, "q BIGINT, node BIGINT, sim FLOAT, done BOOLEAN")
         state = cut_lineage(_best(state.withColumn("done", F.lit(True)).unionAll(found), "q", "node", beam, F.max("done").alias("done")))
+        _forget_shuffles(codes)
         if state.where(~F.col("done")).isEmpty():
-            break
-    return state.select("q", "node", "sim")
+            return state.select("q", "node", "sim")
+    raise RuntimeError(f"searches have not ended after {steps} steps")
 
 
 def cosine(x: Column, y: Column) -> Column:
