@@ -311,3 +311,20 @@ def test_neighbour_graph_must_settle(spark):
     codes = neighbours._codes(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id BIGINT, v ARRAY<DOUBLE>"))
     with pytest.raises(RuntimeError):
         neighbours.build_graph(codes, 8, 4, rounds=1, changed=0.0)
+
+
+def test_neighbours_among_nearly_equal_vectors(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(0, 1, (1500, 16))
+    vectors[::3] = vectors[0] + rng.normal(0, 1e-4, (500, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest(table, every=30).collect():
+        got[r.query_id].add(r.vec_id)
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 1500, 30):
+        sim = units @ units[q]
+        sim[q] = -9
+        hits += len(got[q] & set(np.argsort(-sim)[:5].tolist()))
+    assert hits >= 0.9 * 5 * 50

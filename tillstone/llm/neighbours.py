@@ -18,11 +18,9 @@ HANDED = 4
 # after ROUNDS rounds is an error.
 CHANGED = 0.005
 ROUNDS = 60
-# Nodes a search keeps, steps after which a search that has not ended is an error, and found nodes that are
-# measured exactly.
+# Nodes a search keeps, and steps after which a search that has not ended is an error.
 BEAM = 256
 STEPS = 500
-EXACT = 32
 
 
 def usable(vectors: DataFrame, vec: str = "embedding") -> DataFrame:
@@ -39,54 +37,72 @@ def usable(vectors: DataFrame, vec: str = "embedding") -> DataFrame:
     return rows.where(F.size("v") == (sizes["s"] if sizes else 0)).dropDuplicates(["vec_id"])
 
 
-def _codes(nodes: DataFrame) -> DataFrame:
-    """id and code: the vector's direction in signed bytes. Codes guide the search; results use the vectors."""
+def _stored(vectors: DataFrame, vec: str = "embedding") -> str:
+    """The type that holds the components without loss: four bytes for a column of floats, else eight."""
+    return "<f4" if vectors.schema[vec].dataType.simpleString() == "array<float>" else "<f8"
+
+
+def _codes(nodes: DataFrame, stored: str = "<f8") -> DataFrame:
+    """id and code: the vector's components as bytes."""
 
     def run(batches):
         for batch in batches:
             column = batch.column(1)
             rows = np.asarray(column.flatten()).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
-            scale = np.abs(rows).max(axis=1, keepdims=True, initial=1e-300)
-            codes = np.round(rows / scale * 127).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], names=["id", "code"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in rows.astype(stored)], pa.binary())], names=["id", "code"])
 
     return nodes.select("id", "v").mapInArrow(run, "id BIGINT, code BINARY")
 
 
-def _units(codes: list[bytes]) -> np.ndarray:
-    rows = np.frombuffer(b"".join(codes), np.int8).reshape(len(codes), -1).astype(np.float32)
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+def _units(codes: list[bytes], stored: str) -> np.ndarray:
+    """Directions in double precision, so that cosines of nearly equal vectors still differ."""
+    rows = np.frombuffer(b"".join(codes), stored).reshape(len(codes), -1).astype(np.float64)
+    rows /= np.abs(rows).max(axis=1, keepdims=True, initial=1e-300)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _compare_within(groups: DataFrame, handed: int) -> DataFrame:
+def _compare_within(groups: DataFrame, handed: int, stored: str) -> DataFrame:
     """Compare the members of each neighbourhood with each other: (id, near, sim) for the best of each
     member, as far as better than the worst neighbour it has."""
 
+    def compare(g, own, floor, codes):
+        ids, near, sims = [], [], []
+        units = _units(codes, stored)
+        ends = [*(np.flatnonzero(np.diff(g)) + 1), len(g)]
+        for at, end in zip([0, *ends], ends):
+            if end - at < 2:
+                continue
+            members, u = own[at:end], units[at:end]
+            sim = u @ u.T
+            np.fill_diagonal(sim, -9)
+            k = min(handed, end - at - 1)
+            best = np.argpartition(-sim, k - 1, axis=1)[:, :k]
+            value = np.take_along_axis(sim, best, 1)
+            keep = value > floor[at:end, None]
+            ids.append(np.repeat(members, keep.sum(axis=1))), near.append(members[best][keep]), sims.append(value[keep])
+        flat = [np.concatenate(x) if x else np.zeros(0) for x in (ids, near, sims)]
+        return pa.RecordBatch.from_arrays([pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.int64)), pa.array(flat[2])], names=["id", "near", "sim"])
+
     def run(batches):
+        # Rows come sorted by g; the last neighbourhood of a batch waits for the next batch.
+        held = None
         for batch in batches:
-            ids, near, sims = [], [], []
-            for cell in batch.column(0):
-                members = cell.values
-                if len(members) < 2:
-                    continue
-                own = np.asarray(members.field("id"))
-                floor = np.asarray(members.field("floor"), dtype=np.float32)
-                units = _units(members.field("code").to_pylist())
-                sim = units @ units.T
-                np.fill_diagonal(sim, -9)
-                k = min(handed, len(own) - 1)
-                best = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-                value = np.take_along_axis(sim, best, 1)
-                keep = value > floor[:, None]
-                ids.append(np.repeat(own, keep.sum(axis=1))), near.append(own[best][keep]), sims.append(value[keep])
-            flat = [np.concatenate(x) if x else np.zeros(0) for x in (ids, near, sims)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.int64)), pa.array(flat[2].astype(np.float32))],
-                names=["id", "near", "sim"],
-            )
-
-    packed = groups.groupBy("g").agg(F.collect_list(F.struct("id", "code", "floor")).alias("members"))
-    return packed.select("members").mapInArrow(run, "id BIGINT, near BIGINT, sim FLOAT")
+            if not batch.num_rows:
+                continue
+            g, own, floor = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("g", "id", "floor"))
+            codes = batch.column(batch.schema.get_field_index("code")).to_pylist()
+            if held is not None:
+                g, own, floor = (np.concatenate(x) for x in zip(held[:3], (g, own, floor)))
+                codes = held[3] + codes
+            cut = int(np.searchsorted(g, g[-1]))
+            if cut:
+                yield compare(g[:cut], own[:cut], floor[:cut], codes[:cut])
+            held = g[cut:], own[cut:], floor[cut:], codes[cut:]
+        if held is not None:
+            yield compare(*held)
+
+    dealt = groups.select("g", "id", "floor", "code").repartition("g").sortWithinPartitions("g")
+    return dealt.mapInArrow(run, "id BIGINT, near BIGINT, sim DOUBLE")
 
 
 def _best(rows: DataFrame, owner: str, item: str, n: int, *extra: Column) -> DataFrame:
@@ -100,7 +116,7 @@ def _forget_shuffles(frame: DataFrame) -> None:
     frame.sparkSession._jvm.System.gc()
 
 
-def build_graph(codes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, rounds: int = ROUNDS, changed: float = CHANGED) -> DataFrame:
+def build_graph(codes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, rounds: int = ROUNDS, changed: float = CHANGED, stored: str = "<f8") -> DataFrame:
     """Edges (id, near, sim) of the neighbour graph.
 
     It starts from random groups. Each round joins every node with its neighbours and with some nodes that
@@ -111,11 +127,11 @@ def build_graph(codes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE,
     """
     total = codes.count()
     crowds = max(1, total // (degree + 1))
-    none = F.lit(-2.0).cast("float").alias("floor")
+    none = F.lit(-2.0).alias("floor")
     edges = None
     for seed in range(2):
         dealt = codes.select(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(crowds)).alias("g"), "id", "code", none)
-        found = _compare_within(dealt, degree)
+        found = _compare_within(dealt, degree, stored)
         edges = found if edges is None else edges.unionAll(found)
     edges = cut_lineage(_best(edges, "id", "near", degree))
     if crowds == 1:
@@ -128,9 +144,9 @@ def build_graph(codes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE,
         ).unionAll(codes.select(F.col("id").alias("g"), "id")).distinct()
         floors = edges.groupBy("id").agg(F.min("sim").alias("low"), F.count("*").alias("n"))
         known = codes.join(floors, "id", "left").select(
-            "id", "code", F.when(F.col("n") >= degree, F.col("low")).otherwise(F.lit(-2.0)).cast("float").alias("floor")
+            "id", "code", F.when(F.col("n") >= degree, F.col("low")).otherwise(F.lit(-2.0)).alias("floor")
         )
-        found = _compare_within(places.join(known, "id"), HANDED)
+        found = _compare_within(places.join(known, "id"), HANDED, stored)
         both = edges.withColumn("new", F.lit(0)).unionAll(found.withColumn("new", F.lit(1)))
         merged = cut_lineage(_best(both, "id", "near", degree, F.min("new").alias("new")))
         edges = merged.drop("new")
@@ -140,43 +156,38 @@ def build_graph(codes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE,
     raise RuntimeError(f"the neighbour graph still changes after {rounds} rounds")
 
 
-def greedy_search(queries: DataFrame, codes: DataFrame, edges: DataFrame, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
+def greedy_search(queries: DataFrame, codes: DataFrame, edges: DataFrame, beam: int = BEAM, steps: int = STEPS, stored: str = "<f8") -> DataFrame:
     """(q, node, sim): the nodes each query keeps, by walking the graph from the query's own node.
 
     Each step expands all kept nodes that were not expanded before and keeps the best `beam` of old and new;
-    it ends when nothing is left to expand, and one that has not ended after `steps` is an error. An edge list
-    carries its neighbours' codes, so a step is one join and the similarities are computed where it meets the
-    query.
+    it ends when nothing is left to expand, and one that has not ended after `steps` is an error. The walk moves
+    ids only; a vector is sent once for each (query, node) that a step meets and does not already keep.
     """
-    lists = cut_lineage(
-        edges.join(codes.select(F.col("id").alias("near"), "code"), "near").groupBy("id")
-        .agg(F.collect_list(F.struct("near", "code")).alias("links")).withColumnRenamed("id", "node")
-    )
-    asked = queries.select(F.col("id").alias("q")).join(codes.select(F.col("id").alias("q"), F.col("code").alias("q_code")), "q")
-    state = asked.select("q", F.col("q").alias("node"), F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("done"))
+    lists = cut_lineage(edges.select(F.col("id").alias("node"), "near"))
+    asked = cut_lineage(queries.select(F.col("id").alias("q")).join(codes.select(F.col("id").alias("q"), F.col("code").alias("q_code")), "q"))
+    state = asked.select("q", F.col("q").alias("node"), F.lit(1.0).alias("sim"), F.lit(False).alias("done"))
 
     def run(batches):
         for batch in batches:
-            q, nodes, sims = [], [], []
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("q", "q_code", "floor", "links")]
-            for one, code, floor, links in zip(columns[0].to_pylist(), columns[1].to_pylist(), columns[2].to_pylist(), columns[3]):
-                near = np.asarray(links.values.field("near"))
-                sim = _units(links.values.field("code").to_pylist()) @ _units([code])[0]
-                better = sim > floor
-                nodes.append(near[better]), sims.append(sim[better]), q.append(np.full(int(better.sum()), one))
-            flat = [np.concatenate(x) if x else np.zeros(0) for x in (q, nodes, sims)]
+            if not batch.num_rows:
+                continue
+            q, node, floor, x, y = (batch.column(batch.schema.get_field_index(c)) for c in ("q", "node", "floor", "q_code", "code"))
+            sim = np.einsum("ij,ij->i", _units(x.to_pylist(), stored), _units(y.to_pylist(), stored))
+            better = sim > np.asarray(floor)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.int64)), pa.array(flat[2].astype(np.float32)), pa.array(np.zeros(len(flat[0]), bool))],
+                [pa.array(np.asarray(q)[better]), pa.array(np.asarray(node)[better]), pa.array(sim[better]), pa.array(np.zeros(int(better.sum()), bool))],
                 names=["q", "node", "sim", "done"],
             )
 
+    points = codes.select(F.col("id").alias("node"), "code")
     for _ in range(steps):
         floors = state.groupBy("q").agg(F.min("sim").alias("low"), F.count("*").alias("n"), F.bool_and("done").alias("ended"))
         limits = asked.join(floors.where(~F.col("ended")), "q").select(
-            "q", "q_code", F.when(F.col("n") >= beam, F.col("low")).otherwise(F.lit(-2.0)).cast("float").alias("floor")
+            "q", "q_code", F.when(F.col("n") >= beam, F.col("low")).otherwise(F.lit(-2.0)).alias("floor")
         )
-        ahead = state.where(~F.col("done")).select("q", "node").join(limits, "q").join(lists, "node")
-        found = ahead.select("q", "q_code", "floor", "links").mapInArrow(run, "q BIGINT, node BIGINT, sim FLOAT, done BOOLEAN")
+        ahead = state.where(~F.col("done")).select("q", "node").join(lists, "node").select("q", F.col("near").alias("node")).distinct()
+        ahead = ahead.join(state.select("q", "node"), ["q", "node"], "left_anti").join(points, "node").join(limits, "q")
+        found = ahead.select("q", "node", "floor", "q_code", "code").mapInArrow(run, "q BIGINT, node BIGINT, sim DOUBLE, done BOOLEAN")
         state = cut_lineage(_best(state.withColumn("done", F.lit(True)).unionAll(found), "q", "node", beam, F.max("done").alias("done")))
         _forget_shuffles(codes)
         if state.where(~F.col("done")).isEmpty():
@@ -208,14 +219,13 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     firsts = some.where("place = 1").select(F.col("vec_id").alias("id"), "a", "b")
     members = some.join(firsts, ["a", "b"]).select("id", "vec_id")
     nodes = rows.select(F.col("vec_id").alias("id"), "v").join(firsts.select("id"), "id", "left_semi")
-    codes = cut_lineage(_codes(nodes))
+    stored = _stored(vectors)
+    codes = cut_lineage(_codes(nodes, stored))
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "a", "b").join(firsts, ["a", "b"]).select("query_id", "id")
     asked = cut_lineage(asked)
     starts = asked.select("id").distinct()
-    found = greedy_search(starts, codes, build_graph(codes))
-    top = Window.partitionBy("q").orderBy(F.desc("sim"), "node")
-    close = found.withColumn("_r", F.row_number().over(top)).where(F.col("_r") <= EXACT).select("q", "node")
-    close = close.unionAll(starts.select(F.col("id").alias("q"), F.col("id").alias("node"))).distinct()
+    found = greedy_search(starts, codes, build_graph(codes, stored=stored), stored=stored)
+    close = found.select("q", "node").unionAll(starts.select(F.col("id").alias("q"), F.col("id").alias("node"))).distinct()
     measured = cut_lineage(
         close.join(nodes.select(F.col("id").alias("node"), F.col("v").alias("y")), "node")
         .join(nodes.select(F.col("id").alias("q"), F.col("v").alias("x")), "q")
