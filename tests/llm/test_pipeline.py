@@ -65,3 +65,16 @@ def test_extra_columns_may_have_any_name(spark):
     assert set(kept) == {1, None} and all(kept[1][n] == f"{n}1" for n in CLASHING)
     assert kept[1].text == "five words are in here. " + "*" * 15
     assert corpus_pipeline.pack_sequences(spark, left, FOLDER).count() == 2
+
+
+def test_dedup_decides_by_row(spark):
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+    rows = [(7, "twice"), (7, "twice"), (None, "hot"), (None, "hot"), (None, "hot"), (3, "x"), (9, "x"), (9, "y"), (None, "x"), (None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
+    left = corpus_pipeline.drop_exact_copies(spark, docs, FOLDER)
+    want = [("hot", None), ("twice", 7), ("x", 3), ("y", 9), ("z", None)]
+    assert sorted((r.text, r.doc_id) for r in left.collect()) == want
+    near = [(None, long), (None, f"{long} more"), (4, f"{long} less"), (5, "other"), (5, f"{long} end"), (5, "other")]
+    docs = spark.createDataFrame(near, "doc_id BIGINT, text STRING").repartition(3)
+    left = corpus_pipeline.drop_near_copies(spark, docs, FOLDER)
+    assert sorted((r.text, r.doc_id) for r in left.collect()) == [(f"{long} less", 4), ("other", 5)]
