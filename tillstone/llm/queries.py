@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm import bpe, exact_dedup, lm_scoring, near_dedup, neighbours, packing, quality, secrets, sharding, token_counts
+from tillstone.llm import alignment, bpe, exact_dedup, lm_scoring, near_dedup, neighbours, packing, quality, secrets, sharding, token_counts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 512
 
 
@@ -69,10 +70,14 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, folder, "documents")).drop("row_no")
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, folder, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_lm_scoring, op2_exact_dedup, op3_token_counts, op4_packing, op5_near_dedup, op6_bpe, op7_secrets,
-              op8_neighbours, op9_quality, op10_sharding)
+              op8_neighbours, op9_quality, op10_sharding, op11_alignment)
 }
 
 _WORDS = r"""
