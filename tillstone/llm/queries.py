@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm import alignment, bpe, exact_dedup, lm_scoring, near_dedup, neighbours, packing, quality, secrets, sharding, token_counts
+from tillstone.llm import alignment, bpe, collocations, exact_dedup, language, lm_scoring, near_dedup, neighbours, packing, quality, secrets, sharding, token_counts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -74,10 +74,19 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_documents(_table(spark, folder, "documents"), BYTE_BPE, PIECE_BPE)
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+def op13_language(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.identify(_table(spark, folder, "documents"))
+    return found.withColumn("score", F.round("score", 4))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_lm_scoring, op2_exact_dedup, op3_token_counts, op4_packing, op5_near_dedup, op6_bpe, op7_secrets,
-              op8_neighbours, op9_quality, op10_sharding, op11_alignment)
+              op8_neighbours, op9_quality, op10_sharding, op11_alignment, op12_collocations, op13_language)
 }
 
 _WORDS = r"""
@@ -143,5 +152,36 @@ reach AS (
   SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id, d.doc_id = min(reach.b) AS kept
 FROM documents d JOIN reach ON reach.a = d.doc_id LEFT JOIN counted c ON c.doc_id = d.doc_id GROUP BY d.doc_id, n
+""",
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents)),
+split AS (SELECT row_number() OVER () AS piece_id, lang, string_split_regex(piece, '[\x20\x09]+') AS w FROM pieces),
+flat AS (SELECT piece_id, lang, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM split),
+words AS (
+  SELECT lang, a, lead(a) OVER piece AS b, lead(a, 2) OVER piece AS c FROM flat WHERE a <> ''
+  WINDOW piece AS (PARTITION BY piece_id ORDER BY i)),
+grams AS (
+  SELECT lang, 1 AS size, [a] AS p FROM words
+  UNION ALL SELECT lang, 2, [a, b] FROM words WHERE b IS NOT NULL
+  UNION ALL SELECT lang, 3, [a, b, c] FROM words WHERE c IS NOT NULL),
+f AS (SELECT lang, size, p, count(*) AS c FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(c) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, p, c AS a FROM f WHERE size > 1 AND c >= 10),
+cuts AS (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM candidates),
+parts AS (
+  SELECT x.lang, x.size, x.p, x.a, x.k, l.c AS l, r.c AS r, (1000000::HUGEINT * x.a * x.a) // (l.c::HUGEINT * r.c) AS score
+  FROM cuts x JOIN f l ON l.lang = x.lang AND l.p = x.p[1:k] JOIN f r ON r.lang = x.lang AND r.p = x.p[k + 1:]),
+lowest AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, unnest([p[1:2], p[2:3]]) AS p, a FROM candidates WHERE size = 3),
+covered AS (SELECT c.lang, c.p FROM candidates c JOIN inner_parts d ON d.lang = c.lang AND d.p = c.p AND 100 * d.a >= 50 * c.a GROUP BY ALL),
+ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank
+  FROM lowest WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.lang = lowest.lang AND c.p = lowest.p))
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
 }

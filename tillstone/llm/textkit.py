@@ -6,14 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Texts are hashed in pieces of about this many bytes, so a long text costs no more memory than short ones.
 PIECE_BYTES = 1 << 20
-# Rows of an Arrow batch worked on at a time.
+# Rows of an Arrow batch worked on at a time, and the bytes of text after which a slice ends before that.
 SLICE_ROWS = 512
+SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -129,6 +131,17 @@ def longs(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.uint64).view(np.int64)))
 
 
+def slices_of(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and length of slices of at most SLICE_ROWS texts and SLICE_BYTES bytes; a longer text is one by itself."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, min(at + SLICE_ROWS, int(np.searchsorted(ends, before + SLICE_BYTES, "right"))))
+        yield at, stop - at
+        at = stop
+
+
 def from_text(frame: DataFrame, carry: list[str], schema: str, make, per_task: bool = False) -> DataFrame:
     """Apply `make(texts) -> list of Arrow columns` to the text column, batch by batch.
 
@@ -144,8 +157,8 @@ def from_text(frame: DataFrame, carry: list[str], schema: str, make, per_task: b
     def run(batches):
         work = make() if per_task else make
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE_ROWS):
-                batch = whole.slice(at, SLICE_ROWS)
+            for at, length in slices_of(whole.column(whole.num_columns - 1)):
+                batch = whole.slice(at, length)
                 columns = work(batch.column(batch.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *made.fieldNames()]
