@@ -148,20 +148,22 @@ def from_text(frame: DataFrame, carry: list[str], schema: str, make, per_task: b
     With `per_task`, make() is called once in each task and gives the function to apply, which may keep a state.
 
     `schema` names the new columns; `carry` columns are passed on. A null text counts as empty. Only
-    the carried columns and the text reach Python.
+    the carried columns and the text reach Python; a text that is carried itself goes there once.
     """
-    picked = frame.select(*carry, text_or_empty().alias("_text"))
+    as_it_is = "text" in carry and frame.schema["text"].dataType == T.StringType()
+    picked = frame.select(*carry) if as_it_is else frame.select(*carry, text_or_empty().alias("_text"))
+    place = carry.index("text") if as_it_is else len(carry)
     made = T.StructType.fromDDL(schema)
-    fields = [*picked.schema.fields[:-1], *made.fields]
+    fields = [*picked.schema.fields[: len(carry)], *made.fields]
 
     def run(batches):
         work = make() if per_task else make
         for whole in batches:
-            for at, length in slices_of(whole.column(whole.num_columns - 1)):
+            for at, length in slices_of(whole.column(place)):
                 batch = whole.slice(at, length)
-                columns = work(batch.column(batch.num_columns - 1).to_pylist())
+                columns = work([text or "" for text in batch.column(place).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *made.fieldNames()]
+                    [*batch.columns[: len(carry)], *columns], [*batch.schema.names[: len(carry)], *made.fieldNames()]
                 )
 
     return picked.mapInArrow(run, T.StructType(fields))
