@@ -185,3 +185,63 @@ def test_a_stage_that_dies_leaves_a_failed_control_row(spark, tmp_path):
     assert seen == [("running", None)]
     (row,) = store.table("stage_runs").collect()
     assert (row.run_id, row.status, row.record_count) == (7, "failed", None) and row.finished_at is not None
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_store_is_bucketed_and_reads_are_pruned(spark, accounts, inbox, tmp_path):
+    paths = [inbox(f"f{i}.csv", HEADER + f"2001,,D,{100 + i},2025-03-10\n") for i in range(90)]
+    D.run_batches(spark, inbox.root, paths, 1000, accounts)
+    store = D.Store(spark, inbox.root)
+    folders = list((tmp_path / "store" / "transactions" / "run_id=1000").glob("bucket=*"))
+    assert 20 < len(folders) <= D.BUCKETS and store.table("transactions").count() == 90
+    key = key_of(spark, 1000, paths[7])
+    one = store.table("outcomes", 1000, key)
+    assert [r.amount_cents for r in one.collect()] == [107]
+    (filters,) = [line for line in plan_of(one).splitlines() if "PartitionFilters" in line]
+    assert "run_id" in filters.split("PartitionFilters")[1].split("]")[0] and "bucket" in filters.split("PartitionFilters")[1].split("]")[0]
+    assert len(one.inputFiles()) >= 1
+    some = store.table("batches").where(F.col("id").isin(key, key_of(spark, 1000, paths[8])))
+    several = store.of_batches("outcomes", some)
+    assert sorted(r.amount_cents for r in several.collect()) == [107, 108]
+    assert "dynamicpruning" in plan_of(several).lower()
+
+
+def test_counts_are_taken_while_writing(spark, tmp_path):
+    from tillstone.sources.tables import write_under
+
+    frame = spark.range(0, 1000, 1, 5).withColumn("batch_id", F.lit("a"))
+    root = str(tmp_path / "t")
+    for gather in (False, True):
+        assert write_under(frame, root, "x", {"run_id": 1}, ["batch_id"], gather, F.col("id") % 2 == 0) == 500
+        assert write_under(frame, root, "x", {"run_id": 1}, ["batch_id"], gather) == 1000
+    assert spark.read.parquet(f"{root}/x").count() == 1000
+    assert write_under(frame.where("id < 0"), root, "x", {"run_id": 2}, ["batch_id"]) == 0
+    assert write_partitions(frame.limit(0), root, "y", ["batch_id"]) == 0
+
+
+def test_files_that_come_later_are_a_second_load(spark, accounts, inbox):
+    first = inbox("a.csv", VALID)
+    D.run_batches(spark, inbox.root, first, 1000, accounts)
+    both = [first, inbox("b.csv", MIXED)]
+    summary = D.run_batches(spark, inbox.root, both, 1000, accounts)
+    store = D.Store(spark, inbox.root)
+    assert summary.totals.first().total == 8 and store.stored("batches").agg(F.max("load")).first()[0] == 1
+    assert {r.job_name: r.record_count for r in summary.jobs.collect()}["load_transactions"] == 8
+
+
+def test_only_buckets_of_a_held_batch_are_written_again(spark, accounts, inbox, tmp_path):
+    paths = [inbox(f"v{i}.csv", VALID) for i in range(12)] + [inbox("mixed.csv", MIXED)]
+    store = D.Store(spark, inbox.root)
+    D.load(store, paths, 1000)
+    with pytest.raises(D.StageFailed):
+        D.validate_run(store, 1000, accounts, limit=2)
+    assert store.table("outcomes").where("status = 'validated'").count() == 36
+    assert store.table("outcomes").where("status = 'staged'").count() == 5
+    assert store.table("batch_job_errors").count() == 0
+    files = {f.parent.name: f.name.split("-")[1:6] for f in (tmp_path / "store" / "outcomes" / "run_id=1000").glob("bucket=*/*.parquet")}
+    bucket = spark.range(1).select(D.bucket_of(F.lit(key_of(spark, 1000, paths[-1])))).first()[0]
+    writes = [tuple(v[1:]) for k, v in files.items() if k != f"bucket={bucket}"]
+    assert len(set(writes)) == 1 and tuple(files[f"bucket={bucket}"][1:]) not in writes

@@ -66,7 +66,7 @@ def job_durations(bank: Bank) -> DataFrame:
     )
 
 
-for file_query in (file_path.file_intake, file_path.control_rows, file_path.run_isolation):
+for file_query in (file_path.file_intake, file_path.control_rows, file_path.run_isolation, file_path.stored_year):
     query(file_query)
 
 

@@ -1,8 +1,9 @@
 """A whole run over inbound files: load, validate, post, reconcile, report, gate.
 
-Every stage writes its table partitioned by (run_id, batch_id) and keeps one control row, which says
-running until the stage has completed or failed. Repeating a stage replaces exactly its own partitions, so a run can be started again after a
-failure. Row states are never updated in place: the staged table of a run is what validation wrote,
+Every stage writes its table below its run, in BUCKETS folders by a hash of the batch, so the number of folders does
+not grow with the number of files; a batch or a set of batches is read from its buckets alone. Each stage keeps one
+control row, which says running until the stage has completed or failed. Repeating a stage replaces exactly its own
+folders, so a run can be started again after a failure; each load of a run has a folder of its own. Row states are never updated in place: the staged table of a run is what validation wrote,
 and counts as posted once the posting stage of that run has completed.
 """
 
@@ -11,9 +12,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from typing import NamedTuple
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstone.functions.scalars import run_started
@@ -31,29 +31,42 @@ from tillstone.model import (
 )
 from tillstone.operators import reporting
 from tillstone.operators.intake import batch_register, parse_files, split_intake, unprocessed
-from tillstone.operators.lookups import fits_broadcast, lookup_join
+from tillstone.operators.lookups import fits_broadcast, in_scope, lookup_join
 from tillstone.operators.posting import post
 from tillstone.operators.reconciliation import ReconciliationMismatch, gate, reconcile
 from tillstone.operators.validation import hold_failed_batches, reject_counts, reject_log, validate
+from tillstone.session import cut_lineage
 from tillstone.sources.inbound import list_files
-from tillstone.sources.tables import read_table, write_partitions, write_run
+from tillstone.sources.tables import read_table, write_partitions, write_under
 
-KEYS = ["run_id", "batch_id"]
+# Folders of a run in a table. Fixed for the life of a store, as it says where a batch lies.
+BUCKETS = 64
 _ROW = "account_id INT, merchant_id INT, direction STRING, amount_cents INT"
-_KEYED = "run_id BIGINT, batch_id STRING"
+_KEYED = "batch_id STRING, run_id BIGINT, bucket INT"
 TABLES = {
     "intake": f"id STRING, {_ROW}, txn_date DATE, status STRING, file STRING, row_no BIGINT, line STRING, "
-              f"problem STRING, {_KEYED}",
-    "batches": f"id STRING, file_name STRING, record_count BIGINT, status STRING, job_name STRING, {_KEYED}",
+              f"problem STRING, batch_id STRING, run_id BIGINT, load INT, bucket INT",
+    "batches": "id STRING, file_name STRING, record_count BIGINT, status STRING, job_name STRING, batch_id STRING, "
+               "run_id BIGINT, load INT",
     "outcomes": f"id STRING, {_ROW}, txn_date DATE, status STRING, error_message STRING, {_KEYED}",
-    "held_outcomes": f"id STRING, {_ROW}, txn_date DATE, status STRING, error_message STRING, {_KEYED}",
     "batch_job_errors": f"batch_job_id BIGINT, error_message STRING, record_ref STRING, {_KEYED}",
     "transactions": f"txn_id STRING, {_ROW}, status STRING, description STRING, {_KEYED}",
-    "batch_reconciliations": f"{RECONCILIATIONS}, run_id BIGINT",
+    "batch_reconciliations": f"{RECONCILIATIONS}, run_id BIGINT, bucket INT",
     "stage_runs": STAGE_RUNS,
 }
 
 
+LAYOUT = ("load", "bucket")
+
+
+def bucket_of(batch_id: Column) -> Column:
+    return F.pmod(F.xxhash64(batch_id), F.lit(BUCKETS)).cast("int")
+
+
+def bucketed(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("bucket", bucket_of(F.col("batch_id")))
+
+
 class StageFailed(RuntimeError):
     """A stage stopped the run; later stages did not start."""
 
@@ -73,15 +86,33 @@ class Store:
         self.spark = spark
         self.root = root
 
-    def table(self, name: str, run_id: int | None = None) -> DataFrame:
-        frame = read_table(self.spark, self.root, name, TABLES[name])
-        return frame if run_id is None else frame.where(F.col("run_id") == run_id)
-
-    def write(self, frame: DataFrame, name: str, by: Sequence[str] = KEYS, gather: bool = True) -> None:
-        write_partitions(frame, self.root, name, by, gather)
-
-    def write_run(self, frame: DataFrame, name: str, run_id: int, gather: bool = True) -> None:
-        write_run(frame, self.root, name, run_id, ["batch_id"], gather)
+    def stored(self, name: str) -> DataFrame:
+        """A table with the columns of its layout."""
+        return read_table(self.spark, self.root, name, TABLES[name])
+
+    def table(self, name: str, run_id: int | None = None, batch_id: str | None = None) -> DataFrame:
+        """Rows of a table, of one run, or of one batch; run and bucket are partitions, so only their folders are read."""
+        frame = self.stored(name)
+        if run_id is not None:
+            frame = frame.where(F.col("run_id") == run_id)
+        if batch_id is not None:
+            frame = frame.where((F.col("bucket") == bucket_of(F.lit(batch_id))) & (F.col("batch_id") == batch_id))
+        return frame.drop(*LAYOUT)
+
+    def of_batches(self, name: str, batches: DataFrame) -> DataFrame:
+        """Rows of the given (run_id, batch_id) rows; their runs and buckets are found first and prune the folders."""
+        wanted = batches.select("run_id", "batch_id").distinct()
+        places = wanted.select("run_id", bucket_of(F.col("batch_id")).alias("bucket")).distinct()
+        # At most BUCKETS rows per run.
+        near = self.stored(name).join(F.broadcast(places), ["run_id", "bucket"], "left_semi")
+        return in_scope(near, wanted, ["run_id", "batch_id"]).drop(*LAYOUT)
+
+    def write_run(self, frame: DataFrame, name: str, run_id: int, gather: bool = True, count: Column | None = None) -> int:
+        """Replace what a run has in a table; returns the rows written, or those that `count` holds for."""
+        return write_under(bucketed(frame), self.root, name, {"run_id": run_id}, ["bucket"], gather, count)
+
+    def write_load(self, frame: DataFrame, name: str, run_id: int, load: int, by: Sequence[str], gather: bool = True) -> int:
+        return write_under(frame, self.root, name, {"run_id": run_id, "load": load}, by, gather)
 
     @contextmanager
     def stage(self, run_id: int, job: str) -> Iterator[dict[str, int]]:
@@ -105,7 +136,7 @@ class Store:
             (F.lit(None).cast("timestamp") if status == "running" else F.current_timestamp()).alias("finished_at"),
             F.lit(count).cast("bigint").alias("record_count"),
         )
-        self.write(row, "stage_runs", ["run_id", "job_name"])
+        write_partitions(row, self.root, "stage_runs", ["run_id", "job_name"])
 
     def completed(self, job: str) -> DataFrame:
         return self.table("stage_runs").where((F.col("job_name") == job) & (F.col("status") == "completed")).select("run_id")
@@ -124,20 +155,27 @@ class Store:
 
 
 def load(store: Store, paths: str | Sequence[str], run_id: int, merchants: DataFrame | None = None) -> None:
-    """Take in the listed files, each as one batch; a file already taken in by this run is left out."""
+    """Take in the listed files, each as one batch; a file already taken in by this run is left out.
+
+    The list of files stays on the executors: the files are read by the given paths, and where the run has taken in
+    some of them before, their lines are left out by batch.
+    """
     with store.stage(run_id, LOAD_JOB) as done:
+        before = store.stored("batches").where(F.col("run_id") == run_id)
+        last = before.agg(F.max("load")).first()[0]
         files = list_files(store.spark, paths).select("file")
-        waiting = unprocessed(files, store.table("batches", run_id), run_id)
-        fresh = [unquote(row.file) for row in waiting.select("file").collect()]
-        if fresh:
-            parsed = parse_files(store.spark, fresh, run_id, merchants)
-            shuffled = merchants is not None and not fits_broadcast(merchants)
-            store.write(parsed.withColumn("run_id", F.lit(run_id).cast("bigint")), "intake", gather=shuffled)
-            register = batch_register(
-                list_files(store.spark, fresh), split_intake(store.table("intake", run_id)).staged, run_id
-            )
-            store.write(register.withColumn("batch_id", F.col("id")), "batches")
-        done["count"] = split_intake(store.table("intake", run_id)).staged.count()
+        waiting = files if last is None else unprocessed(files, before, run_id)
+        if waiting.limit(1).count():
+            parsed = parse_files(store.spark, paths, run_id, merchants)
+            if last is not None:
+                parsed = parsed.join(before.select("batch_id").distinct(), "batch_id", "left_anti")
+            this = 0 if last is None else last + 1
+            shuffled = last is not None or merchants is not None and not fits_broadcast(merchants)
+            store.write_load(bucketed(parsed), "intake", run_id, this, ["bucket"], shuffled)
+            taken = store.stored("intake").where((F.col("run_id") == run_id) & (F.col("load") == this))
+            register = batch_register(waiting, split_intake(taken).staged, run_id)
+            store.write_load(register.withColumn("batch_id", F.col("id")), "batches", run_id, this, [], gather=False)
+        done["count"] = store.table("batches", run_id).agg(F.coalesce(F.sum("record_count"), F.lit(0))).first()[0]
 
 
 def pending_runs(store: Store, job: str) -> list[int]:
@@ -150,33 +188,38 @@ def validate_run(store: Store, run_id: int, accounts: DataFrame, limit: int = RE
     """Judge the staged rows of a run; a batch over the reject limit stays staged and fails the stage."""
     with store.stage(run_id, VALIDATE_JOB) as done:
         staged = split_intake(store.table("intake", run_id)).staged
-        store.write_run(validate(staged, accounts), "outcomes", run_id, gather=not fits_broadcast(accounts))
-        judged = store.table("outcomes", run_id)
-        over = reject_counts(judged, limit).where(~F.col("within_limit")).count()
+        judged_count = store.write_run(
+            validate(staged, accounts), "outcomes", run_id, gather=True, count=F.col("status") != STAGED_STATE
+        )
+        # One row per batch over the limit.
+        failed = cut_lineage(reject_counts(store.table("outcomes", run_id), limit).where(~F.col("within_limit")))
+        over, held = failed.agg(F.count("*"), F.coalesce(F.sum(F.col("write_count") + F.col("skip_count")), F.lit(0))).first()
         if over:
-            store.write_run(hold_failed_batches(judged, limit), "held_outcomes", run_id)
-            store.write_run(store.table("held_outcomes", run_id), "outcomes", run_id)
-            judged = store.table("outcomes", run_id)
-        store.write_run(reject_log(judged), "batch_job_errors", run_id, gather=False)
-        done["count"] = judged.where(F.col("status") != STAGED_STATE).count()
+            # Only the buckets of the failed batches are written again.
+            run = F.lit(run_id).cast("bigint").alias("run_id")
+            places = failed.select(run, bucket_of(F.col("batch_id")).alias("bucket")).distinct()
+            touched = store.stored("outcomes").join(F.broadcast(places), ["run_id", "bucket"], "left_semi")
+            write_partitions(
+                cut_lineage(hold_failed_batches(touched, limit)), store.root, "outcomes", ["run_id", "bucket"]
+            )
+        store.write_run(reject_log(store.table("outcomes", run_id)), "batch_job_errors", run_id)
+        done["count"] = judged_count - held
         if over:
             raise StageFailed(f"{over} batch(es) of run {run_id} have more than {limit} rejects")
 
 
 def post_run(store: Store, run_id: int) -> None:
     with store.stage(run_id, POST_JOB) as done:
-        store.write_run(post(store.table("outcomes", run_id)), "transactions", run_id, gather=False)
-        done["count"] = store.table("transactions", run_id).count()
+        done["count"] = store.write_run(post(store.table("outcomes", run_id)), "transactions", run_id)
 
 
 def reconcile_run(store: Store, run_id: int) -> DataFrame:
     """Write the reconciliation rows of a run, mismatches included, and return them."""
     with store.stage(run_id, RECONCILE_JOB) as done:
         staged = store.staged_transactions().where(F.col("run_id") == run_id)
-        store.write_run(reconcile(staged, store.table("transactions", run_id)), "batch_reconciliations", run_id)
-        written = store.table("batch_reconciliations", run_id)
-        done["count"] = written.count()
-    return written
+        figures = reconcile(staged, store.table("transactions", run_id))
+        done["count"] = store.write_run(figures, "batch_reconciliations", run_id)
+    return store.table("batch_reconciliations", run_id)
 
 
 def summarize(store: Store) -> Summary:

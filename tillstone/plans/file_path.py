@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tillstone.model import RECONCILE_JOB
 from tillstone.operators.intake import INBOUND_ORDER
 from tillstone.plans.bank import Bank, file_cells
-from tillstone.plans.daily_run import Store, load, run_batches
+from tillstone.plans.daily_run import Store, load, run_batches, validate_run
 from tillstone.session import scratch_path
 
+READ_YEAR = 1995
 RUNS = (1_741_568_400_000, 1_741_654_800_000)
 
 
@@ -80,3 +81,14 @@ def run_isolation(bank: Bank) -> DataFrame:
         *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in counts],
         F.bool_and("counts_match").alias("counts_match"), F.bool_and("totals_match").alias("totals_match"),
     )
+
+
+def stored_year(bank: Bank) -> DataFrame:
+    """The judged rows of one year's files, read from the buckets of their batches in the stored table."""
+    store, paths = _store(bank), write_years(bank)
+    load(store, paths, RUNS[0])
+    validate_run(store, RUNS[0], bank.accounts(), limit=sys.maxsize)
+    batches = store.table("intake", RUNS[0]).where(year_of(F.col("file")) == READ_YEAR)
+    return store.of_batches("outcomes", batches).groupBy("status").agg(
+        F.count("*").alias("row_count"), F.sum("amount_cents").cast("bigint").alias("total_cents")
+    )

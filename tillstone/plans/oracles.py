@@ -595,6 +595,8 @@ SELECTS: dict[str, str] = {
         CAST(coalesce(sum(amount_cents) FILTER (status = 'validated'), 0) AS BIGINT) AS posted_total_cents,
         true AS counts_match, true AS totals_match
         FROM b_lines, (VALUES ({RUNS[0]}), ({RUNS[1]})) r(run_id) WHERE problem IS NULL GROUP BY 1, 2""",
+    "stored_year": """SELECT status, count(*) AS row_count, CAST(sum(amount_cents) AS BIGINT) AS total_cents FROM b_lines
+        WHERE problem IS NULL AND batch_id // 100 = 1995 GROUP BY 1""",
     "incremental_intake": """SELECT batch_id, staged_count, staged_count AS posted_count, staged_total_cents,
         staged_total_cents AS posted_total_cents, true AS counts_match, true AS totals_match FROM b_recon""",
     "validate_rules": "SELECT id, batch_id, status, error_message FROM b_outcomes",

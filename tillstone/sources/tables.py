@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -38,31 +38,41 @@ def _gathered(frame: DataFrame, by: Sequence[str], gather: bool) -> DataFrame:
     return frame.hint("rebalance", *by) if gather else frame
 
 
-def write_partitions(frame: DataFrame, root: str, name: str, by: Sequence[str], gather: bool = True) -> None:
-    """Replace the partitions present in the frame and leave all others alone.
+def _counted(frame: DataFrame, count: Column | None) -> tuple[DataFrame, Observation]:
+    """The frame with its rows counted while they are written; `count` restricts what is counted."""
+    seen = Observation()
+    return frame.observe(seen, F.coalesce(F.count(F.lit(1)) if count is None else F.count_if(count), F.lit(0)).alias("rows")), seen
 
-    Running the same write again gives the same table.
+
+def write_partitions(
+    frame: DataFrame, root: str, name: str, by: Sequence[str], gather: bool = True, count: Column | None = None
+) -> int:
+    """Replace the partitions present in the frame, leave all others alone, and return the rows written.
+
+    Running the same write again gives the same table. Rows are counted in the writing stage itself, whose tasks
+    each count once however often they are tried.
     """
+    counted, seen = _counted(_gathered(frame, by, gather), count)
     (
-        _gathered(frame, by, gather)
-        .write.mode("overwrite")
+        counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(f"{root}/{name}")
     )
+    return seen.get["rows"]
 
 
-def write_run(
-    frame: DataFrame, root: str, name: str, run_id: int, by: Sequence[str], gather: bool = True
-) -> None:
-    """Replace everything a run has in a table, also what this frame no longer holds."""
-    (
-        _gathered(frame.drop("run_id"), by, gather)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*by)
-        .parquet(f"{root}/{name}/run_id={run_id}")
-    )
+def write_under(
+    frame: DataFrame, root: str, name: str, place: dict[str, int], by: Sequence[str], gather: bool = True, count: Column | None = None
+) -> int:
+    """Replace everything below one place of a table, also what this frame no longer holds; returns the rows written.
+
+    The place is given by leading partition columns, such as the run; `by` are the further ones.
+    """
+    counted, seen = _counted(_gathered(frame.drop(*place), by, gather), count)
+    folder = "/".join(f"{column}={value}" for column, value in place.items())
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(f"{root}/{name}/{folder}")
+    return seen.get["rows"]
 
 
 def write_json(frame: DataFrame, path: str) -> None:
