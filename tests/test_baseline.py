@@ -169,3 +169,26 @@ def test_report_sinks(spark, tmp_path, actual, golden):
     assert spark.read.json(str(tmp_path / "report")).count() == 3
     first = json.loads(as_json(results).first().json)
     assert first["dataset_id"] == "ds-001" and first["pass_count"] == 14
+
+
+def test_report_lists_findings_in_numbered_parts(spark, actual, golden):
+    classified, results = B.verify(actual, golden, approvals(spark))
+    named = spark.createDataFrame([("ds-002", "mixed rows")], "dataset_id STRING, description STRING")
+    made = B.report(results, classified, named, {"commit": "abc", "environment": "test"}, 3)
+    rows = sorted((json.loads(r.json) for r in as_json(made).collect()), key=lambda r: (r["dataset_id"], r["part"]))
+    assert [(r["dataset_id"], r["part"], r["parts"], len(r["discrepancies"])) for r in rows] == [
+        ("ds-001", 0, 1, 0), ("ds-002", 0, 2, 3), ("ds-002", 1, 2, 1), ("ds-003", 0, 2, 3), ("ds-003", 1, 2, 1)
+    ]
+    assert all((r["commit"], r["environment"]) == ("abc", "test") for r in rows)
+    assert [r["description"] for r in rows] == [None, "mixed rows", "mixed rows", None, None]
+    fields = [d["field"] for r in rows for d in r["discrepancies"] if r["dataset_id"] == "ds-002"]
+    want = {r.field for r in classified.where("dataset_id = 'ds-002'").collect()}
+    assert set(fields) == want and len(fields) == 4
+    names = [n for n, _ in B.SCALAR_FIELDS]
+    scalars = [f for f in fields if f in names]
+    assert fields[: len(scalars)] == scalars == sorted(scalars, key=names.index)
+
+
+def test_pairing_reads_one_layout_and_joins_nothing(spark, actual, golden):
+    plan = B.compare_fields(actual, golden)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 4 and plan.count("idx") and "Join LeftOuter" not in plan

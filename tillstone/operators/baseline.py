@@ -13,6 +13,9 @@ from tillstone.operators.reconciliation import Outputs
 from tillstone.session import cut_lineage
 
 KEY = "dataset_id"
+TRANSACTIONS, ERRORS = "transactions", "errors"
+# Findings in one part of a dataset's report; a dataset with more gets several numbered parts.
+PART_FINDINGS = 1000
 
 # Compared fields and the columns behind them, in report order.
 SCALAR_FIELDS = [
@@ -83,8 +86,12 @@ def _both_sides(actual: DataFrame, baseline: DataFrame, columns: list[str]) -> D
     return parts[0].unionByName(parts[1])
 
 
-def _side(indexed: DataFrame, side: str, columns: list[str]) -> DataFrame:
-    return indexed.where(F.col("side") == side).select(KEY, "idx", F.struct(*columns).alias(side))
+def _paired(indexed: DataFrame, columns: list[str]) -> DataFrame:
+    """Both sides of every place in one row, by one aggregate; a side without that place is null."""
+    def of(side: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.struct(*columns))).alias(side)
+
+    return indexed.groupBy(KEY, "kind", "idx").agg(of("b"), of("a"))
 
 
 def _entry(field: Column, expected: Column, actual: Column, equal: Column) -> Column:
@@ -116,22 +123,29 @@ def compare_fields(actual: Outputs, baseline: Outputs) -> DataFrame:
         actual.transactions, baseline.transactions,
         ["account_id", "amount_cents", "direction", "description", "ref"],
     )
-    ranked = index_transactions(in_scope(listed, level, KEY), "side")
-    payload = [c for _, c in TRANSACTION_FIELDS]
-    pairs = _side(ranked, "b", payload).join(_side(ranked, "a", payload), [KEY, "idx"], "left")
-    prefix = F.concat(F.lit("transactions["), F.col("idx").cast("string"), F.lit("]."))
-    rows = pairs.select(KEY, F.explode(F.array(*[
-        _entry(F.concat(prefix, F.lit(field)), F.col(f"b.{c}"), F.col(f"a.{c}"),
-               F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")))
-        for field, c in TRANSACTION_FIELDS
-    ])).alias("e"))
+    rows = normalize_transactions(in_scope(listed, level, KEY)).withColumn("kind", F.lit(TRANSACTIONS))
+    texts = normalize_errors(_both_sides(actual.errors, baseline.errors, ["error_message", "record_ref"]))
+    texts = texts.withColumnRenamed("record_ref", "ref").withColumns(
+        {"kind": F.lit(ERRORS), "text": F.coalesce("error_message", F.lit(""))}
+    )
+    # Both lists of both sides share one sorted layout; rows go by account and amount, messages by text.
+    ranked = positional_index(
+        rows.unionByName(texts, allowMissingColumns=True), ["kind", "side", KEY],
+        ["account_id", "amount_cents", "direction", "description", "text"], ["ref"],
+    )
+    pairs = _paired(ranked, [*(c for _, c in TRANSACTION_FIELDS), "error_message"])
 
-    texts = index_errors(_both_sides(actual.errors, baseline.errors, ["error_message", "record_ref"]), "side")
-    paired = _side(texts, "b", ["error_message"]).join(_side(texts, "a", ["error_message"]), [KEY, "idx"])
-    label = F.concat(F.lit("errors["), F.col("idx").cast("string"), F.lit("].errorMessage"))
-    want, got = F.col("b.error_message"), F.col("a.error_message")
-    messages = paired.select(KEY, _entry(label, want, got, want.eqNullSafe(got)).alias("e"))
-    return scalars.unionByName(rows).unionByName(messages).select(KEY, "e.*")
+    def entry(label: str, column: str) -> Column:
+        place = F.concat(F.col("kind"), F.lit("["), F.col("idx").cast("string"), F.lit("]."), F.lit(label))
+        want, got = F.col(f"b.{column}"), F.col(f"a.{column}")
+        return _entry(place, want, got, want.eqNullSafe(got))
+
+    is_row = F.col("kind") == TRANSACTIONS
+    entries = F.when(is_row, F.array(*[entry(field, c) for field, c in TRANSACTION_FIELDS])).otherwise(
+        F.array(entry("errorMessage", "error_message"))
+    )
+    met = pairs.where(F.col("b").isNotNull() & (is_row | F.col("a").isNotNull()))
+    return scalars.unionByName(met.select(KEY, F.explode(entries).alias("e"))).select(KEY, "e.*")
 
 
 def _covers(approval: str) -> Column:
@@ -193,6 +207,42 @@ def verification_results(compared: DataFrame, classified: DataFrame) -> DataFram
 
 def verify(actual: Outputs, baseline: Outputs, approvals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Classified findings and the result per dataset."""
-    compared = compare_fields(actual, baseline)
-    classified = classify(compared, approvals)
+    compared = cut_lineage(compare_fields(actual, baseline))
+    classified = cut_lineage(classify(compared, approvals))
     return classified, verification_results(compared, classified)
+
+
+def _report_order() -> list[Column]:
+    """Findings in the order of comparison: single figures, then rows by place, then messages by place."""
+    field = F.col("field")
+    kinds = F.when(field.startswith(f"{TRANSACTIONS}["), 1).when(field.startswith(f"{ERRORS}["), 2).otherwise(0)
+    place = F.regexp_extract(field, r"\[([0-9]+)\]", 1).try_cast("bigint")
+    names = F.array(*[F.lit(name) for name, _ in [*SCALAR_FIELDS, *TRANSACTION_FIELDS]])
+    return [kinds, place, F.array_position(names, F.substring_index(field, ".", -1))]
+
+
+def report(
+    results: DataFrame, classified: DataFrame, descriptions: DataFrame, metadata: dict[str, str], part_findings: int = PART_FINDINGS
+) -> DataFrame:
+    """The verification report: per dataset its description, the given metadata (such as commit and environment), result
+    and counts, and the list of discrepancies in the order of comparison.
+
+    Findings are numbered over a sorted layout, so a dataset with very many is not brought into one task; each
+    `part_findings` of them make a part, and all parts repeat the head. `descriptions` has dataset_id and
+    description; a dataset without one has null there.
+    """
+    numbered = positional_index(classified, [KEY], _report_order())
+    found = F.struct("idx", "field", "expected", "actual", "classification", "rationale")
+    parts = numbered.groupBy(KEY, F.floor(F.col("idx") / part_findings).alias("part")).agg(F.array_sort(F.collect_list(found)).alias("found"))
+    total = F.greatest(F.lit(1), F.ceil((F.col("warning_count") + F.col("fail_count") + F.col("approved_count")) / part_findings))
+    head = results.join(descriptions.select(KEY, "description"), KEY, "left").withColumn("parts", total)
+    nothing = parts.schema["found"].dataType.simpleString()
+    listed = F.transform(
+        F.coalesce("found", F.array().cast(nothing)),
+        lambda f: F.struct(*[f[c].alias(c) for c in ("field", "expected", "actual", "classification", "rationale")]),
+    )
+    return head.join(parts, KEY, "left").select(
+        KEY, "description", *[F.lit(value).alias(name) for name, value in metadata.items()],
+        F.coalesce("part", F.lit(0)).alias("part"), "parts", "overall_status",
+        "pass_count", "warning_count", "fail_count", "approved_count", listed.alias("discrepancies"),
+    )

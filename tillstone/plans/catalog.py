@@ -25,6 +25,8 @@ QUERIES: dict[str, Query] = {}
 
 # Parameters of the registered queries.
 TIGHT_LIMIT = 45
+REPORT_METADATA = {"commit": "unversioned", "environment": "supplied orders"}
+REPORT_PART = 5
 RUN_SINCE = "1998-01-01 00:00:00"
 
 
@@ -332,8 +334,7 @@ def field_compare(bank: Bank) -> DataFrame:
 
 @query
 def approval_classify(bank: Bank) -> DataFrame:
-    compared = verification.compare_fields(*bank.compared())
-    return verification.classify(compared, bank.approvals())
+    return verification.verify(*bank.compared(), bank.approvals())[0]
 
 
 @query
@@ -343,8 +344,10 @@ def verification_rollup(bank: Bank) -> DataFrame:
 
 @query
 def verification_report(bank: Bank) -> DataFrame:
-    """The results as JSON texts, one per dataset."""
-    return as_json(verification.verify(*bank.compared(), bank.approvals())[1])
+    """The report with its findings as JSON texts, one per dataset and part."""
+    classified, results = verification.verify(*bank.compared(), bank.approvals())
+    named = bank.approvals().select("dataset_id").distinct().withColumn("description", F.concat(F.lit("orders of "), "dataset_id"))
+    return as_json(verification.report(results, classified, named, REPORT_METADATA, REPORT_PART))
 
 
 # -- contracts and replays ----------------------------------------------------------------------

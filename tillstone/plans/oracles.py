@@ -559,9 +559,20 @@ _LIMITED = f"""SELECT batch_id, count(*) AS read_count, count(*) FILTER (status
     count(*) FILTER (status = 'rejected') <= {TIGHT_LIMIT} AS within_limit,
     CASE WHEN count(*) FILTER (status = 'rejected') <= {TIGHT_LIMIT} THEN 'completed' ELSE 'failed' END AS batch_status
   FROM b_outcomes GROUP BY batch_id"""
-_JSON = """SELECT concat('{"dataset_id":"', dataset_id, '","overall_status":"', overall_status, '","pass_count":', pass_count,
-    ',"warning_count":', warning_count, ',"fail_count":', fail_count, ',"approved_count":', approved_count, '}') AS json
-  FROM b_results"""
+_JSON = r"""SELECT concat('{"dataset_id":"', r.dataset_id, '","description":"orders of ', r.dataset_id,
+    '","commit":"unversioned","environment":"supplied orders","part":', coalesce(p.part, 0), ',"parts":',
+    greatest(1, (warning_count + fail_count + approved_count + 4) // 5), ',"overall_status":"', overall_status, '","pass_count":',
+    pass_count, ',"warning_count":', warning_count, ',"fail_count":', fail_count, ',"approved_count":', approved_count,
+    ',"discrepancies":', coalesce(p.found, '[]'), '}') AS json
+  FROM b_results r LEFT JOIN (
+    SELECT dataset_id, seq // 5 AS part, CAST(to_json(list({'field': field, 'expected': expected, 'actual': actual,
+      'classification': classification, 'rationale': rationale} ORDER BY seq)) AS VARCHAR) AS found
+    FROM (SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY
+            CASE WHEN starts_with(field, 'transactions[') THEN 1 WHEN starts_with(field, 'errors[') THEN 2 ELSE 0 END,
+            TRY_CAST(regexp_extract(field, '\[([0-9]+)\]', 1) AS BIGINT) NULLS FIRST,
+            list_position(['stagedCount', 'postedCount', 'rejectedCount', 'errorCount', 'totalPostedCents', 'direction',
+              'amountCents', 'description'], string_split(field, '.')[-1])) - 1 AS seq FROM b_classified)
+    GROUP BY 1, 2) p USING (dataset_id)"""
 _DOC_HEAD = r"""SELECT CAST(doc_id AS VARCHAR) AS file,
     regexp_replace(split_part(replace(text, chr(13) || chr(10), chr(10)), chr(10), 1),
                    '^[\x{00}-\x{20}]+|[\x{00}-\x{20}]+$', '', 'g') AS head FROM documents"""
