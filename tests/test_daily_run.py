@@ -8,17 +8,17 @@ from tillstone.plans import daily_run as D
 from tillstone.sources.tables import write_partitions
 
 HEADER = "account_id,merchant_id,direction,amount_cents,txn_date\n"
-VALID = HEADER + "2001,3001,D,5000,2025-03-10\n2002,3002,C,1500,2025-03-10\n2003,,C,25000,2025-03-10\n"
+VALID = HEADER + "410,71,D,1234,2024-11-05\n411,72,C,866,2024-11-05\n412,,C,7900,2024-11-06\n"
 MIXED = HEADER + (
-    "2001,3001,D,5000,2025-03-10\n2002,3002,D,0,2025-03-10\n2003,,C,1500,2025-03-10\n"
-    "9999,3001,D,750,2025-03-10\n2001,,X,200,2025-03-10\n"
+    "410,71,D,333,2024-11-05\n411,72,D,-4,2024-11-05\n412,,C,667,2024-11-07\n"
+    "777,71,D,90,2024-11-05\n410,,Q,15,2024-11-06\n"
 )
 
 
 @pytest.fixture(scope="module")
 def accounts(spark):
     return spark.createDataFrame(
-        [(2001, "active"), (2002, "active"), (2003, "active"), (2004, "frozen")], "account_id INT, status STRING"
+        [(410, "active"), (411, "active"), (412, "active"), (413, "frozen")], "account_id INT, status STRING"
     )
 
 
@@ -45,7 +45,7 @@ def test_valid_file(spark, accounts, inbox):
     totals = summary.totals.first()
     assert (totals.total, totals.posted, totals.rejected, totals.still_staged) == (3, 3, 0, 0)
     row = D.Store(spark, inbox.root).table("batch_reconciliations").first()
-    assert (row.staged_count, row.posted_count, row.posted_total_cents) == (3, 3, 31500)
+    assert (row.staged_count, row.posted_count, row.posted_total_cents) == (3, 3, 10000)
     assert row.counts_match and row.totals_match
     assert [r.result for r in summary.reconciliations.collect()] == ["PASS"]
 
@@ -57,7 +57,7 @@ def test_mixed_file(spark, accounts, inbox):
     reasons = {r.error_message: r.cnt for r in summary.reject_reasons.collect()}
     assert reasons == {"amount must be positive; ": 1, "account not found; ": 1, "direction must be D or C; ": 1}
     row = D.Store(spark, inbox.root).table("batch_reconciliations").first()
-    assert (row.staged_count, row.posted_count, row.staged_total_cents) == (2, 2, 6500)
+    assert (row.staged_count, row.posted_count, row.staged_total_cents) == (2, 2, 1000)
     jobs = {r.job_name: r.record_count for r in summary.jobs.collect()}
     assert jobs == {"load_transactions": 5, "validate_transactions": 5, "post_transactions": 2, "reconcile_batches": 1}
     assert [r.job_name for r in summary.jobs.collect()] == list(jobs)
@@ -70,7 +70,7 @@ def test_same_file_in_two_runs_is_two_batches(spark, accounts, inbox):
     D.run_batches(spark, inbox.root, path, 1000, accounts)
     summary = D.run_batches(spark, inbox.root, path, 2000, accounts)
     rows = D.Store(spark, inbox.root).table("batch_reconciliations").orderBy("batch_id").collect()
-    assert [(r.staged_count, r.posted_count, r.posted_total_cents) for r in rows] == [(3, 3, 31500)] * 2
+    assert [(r.staged_count, r.posted_count, r.posted_total_cents) for r in rows] == [(3, 3, 10000)] * 2
     assert summary.totals.first().total == 6
 
 
@@ -87,7 +87,7 @@ def test_repeating_a_run_changes_nothing(spark, accounts, inbox):
 
 def test_lost_ledger_row_stops_the_run_after_the_report(spark, accounts, inbox, monkeypatch):
     real = D.post
-    monkeypatch.setattr(D, "post", lambda rows: real(rows.where(F.col("account_id") != 2002)))
+    monkeypatch.setattr(D, "post", lambda rows: real(rows.where(F.col("account_id") != 411)))
     with pytest.raises(ReconciliationMismatch) as stopped:
         D.run_batches(spark, inbox.root, inbox("valid.csv", VALID), 1000, accounts)
     assert [r.result for r in stopped.value.summary.reconciliations.collect()] == ["FAIL"]
@@ -120,7 +120,7 @@ def test_equal_names_in_two_folders_are_two_batches(spark, accounts, inbox, tmp_
     paths = []
     for folder, cents in (("east", 41), ("west", 62)):
         (tmp_path / folder).mkdir()
-        (tmp_path / folder / "x.csv").write_text(HEADER + f"2001,,D,{cents},2025-03-10\n")
+        (tmp_path / folder / "x.csv").write_text(HEADER + f"410,,D,{cents},2025-03-10\n")
         paths.append(str(tmp_path / folder / "x.csv"))
     D.run_batches(spark, inbox.root, paths[:1], 1000, accounts)
     summary = D.run_batches(spark, inbox.root, paths, 1000, accounts)
@@ -143,17 +143,17 @@ def test_file_without_rows(spark, accounts, inbox):
 
 
 def test_lines_that_cannot_be_staged(spark, accounts, inbox):
-    merchants = spark.createDataFrame([(3001, "a", "b", None), (3002, "c", "d", None)], MERCHANTS)
+    merchants = spark.createDataFrame([(71, "a", "b", None), (72, "c", "d", None)], MERCHANTS)
     text = HEADER + (
-        "2001,3001,D,5000,3/7/2025\r\n"
-        "2001,3001,D,abc,2025-03-10\r\n"
+        "410,71,D,5000,3/7/2025\r\n"
+        "410,71,D,abc,2025-03-10\r\n"
         "# remark\r\n"
         "\r\n"
-        "2001,3001,DR,1,2025-03-10\r\n"
-        "2001,3001,D,1\r\n"
-        "2001,3009,D,1,2025-03-10\r\n"
-        "2001,3001,D,1,yesterday\r\n"
-        "9999,,  ,0,2025-03-10\r\n"
+        "410,71,DR,1,2025-03-10\r\n"
+        "410,71,D,1\r\n"
+        "410,79,D,1,2025-03-10\r\n"
+        "410,71,D,1,yesterday\r\n"
+        "777,,  ,0,2025-03-10\r\n"
     )
     store = D.Store(spark, inbox.root)
     path = inbox("odd.csv", text)
@@ -192,7 +192,7 @@ def plan_of(frame):
 
 
 def test_store_is_bucketed_and_reads_are_pruned(spark, accounts, inbox, tmp_path):
-    paths = [inbox(f"f{i}.csv", HEADER + f"2001,,D,{100 + i},2025-03-10\n") for i in range(90)]
+    paths = [inbox(f"f{i}.csv", HEADER + f"410,,D,{100 + i},2025-03-10\n") for i in range(90)]
     D.run_batches(spark, inbox.root, paths, 1000, accounts)
     store = D.Store(spark, inbox.root)
     folders = list((tmp_path / "store" / "transactions" / "run_id=1000").glob("bucket=*"))

@@ -7,7 +7,7 @@ from tillstone.sources.documents import read_file_contract
 from tillstone.sources.inbound import list_files, number_lines, read_line_blocks
 
 HEADER = "account_id,merchant_id,direction,amount_cents,txn_date\n"
-ROW = "2001,3001,D,5000,2025-03-10\n"
+ROW = "880415,606,D,73,2023-07-19\n"
 
 CASES = [
     ("valid", HEADER + ROW, "PASS", set()),
@@ -15,29 +15,29 @@ CASES = [
     ("zero", "", "FAIL", {"ACH-FILE-001-EMPTY"}),
     ("tabs", (HEADER + ROW).replace(",", "\t"), "FAIL", {"ACH-FILE-001-DELIM"}),
     ("first line blank", "\n" + HEADER + ROW, "FAIL", {"ACH-FILE-001-DELIM"}),
-    ("missing", "account_id,merchant_id,direction,amount_cents\n2001,x,D,5000\n", "FAIL",
+    ("missing", "account_id,merchant_id,direction,amount_cents\n2001,x,D,73\n", "FAIL",
      {"ACH-FILE-001-COL-MISSING"}),
     ("renamed", "account_id,merchant_id,direction,amount,txn_date\n" + ROW, "FAIL",
      {"ACH-FILE-001-COL-MISSING", "ACH-FILE-001-COL-EXTRA"}),
     ("extra", HEADER.strip() + ",notes\n" + ROW.strip() + ",ok\n", "WARNING", {"ACH-FILE-001-COL-EXTRA"}),
-    ("swapped", "account_id,merchant_id,direction,txn_date,amount_cents\n2001,3001,D,2025-03-10,5000\n", "WARNING",
+    ("swapped", "account_id,merchant_id,direction,txn_date,amount_cents\n2001,606,D,2023-07-19,73\n", "WARNING",
      {"ACH-FILE-001-COL-ORDER"}),
-    ("amount text", HEADER + "2001,3001,D,abc,2025-03-10\n", "FAIL", {"ACH-FILE-001-TYPE-AMOUNT"}),
-    ("amount decimal", HEADER + "2001,3001,D,5.0,2025-03-10\n", "FAIL", {"ACH-FILE-001-TYPE-AMOUNT"}),
-    ("date", HEADER + "2001,3001,D,5000,10/03/2025\n", "FAIL", {"ACH-FILE-001-TYPE-DATE"}),
-    ("direction", HEADER + "2001,3001,DR,5000,2025-03-10\n", "FAIL", {"ACH-FILE-001-ALLOWED-DIR"}),
-    ("lower case", HEADER + "2001,3001,d,5000,2025-03-10\n", "FAIL", {"ACH-FILE-001-ALLOWED-DIR"}),
-    ("merchant", HEADER + ROW + "2002,abc,C,1500,2025-03-10\n", "FAIL", {"ACH-FILE-001-TYPE-MERCHANT"}),
-    ("amount zero", HEADER + "2001,3001,D,0,2025-03-10\n", "FAIL", {"ACH-FILE-001-MIN-AMOUNT"}),
-    ("no merchant", HEADER + "2001,,D,5000,2025-03-10\n", "PASS", set()),
-    ("no account", HEADER + " ,3001,D,5000,2025-03-10\n", "FAIL", {"ACH-FILE-001-NULL-ACCOUNT"}),
-    ("short", HEADER + "2001,3001,X\n", "FAIL", {"ACH-FILE-001-ROW-SHORT", "ACH-FILE-001-ALLOWED-DIR"}),
+    ("amount text", HEADER + "880415,606,D,much,2023-07-19\n", "FAIL", {"ACH-FILE-001-TYPE-AMOUNT"}),
+    ("amount decimal", HEADER + "880415,606,D,7.0,2023-07-19\n", "FAIL", {"ACH-FILE-001-TYPE-AMOUNT"}),
+    ("date", HEADER + "880415,606,D,73,19.07.2023\n", "FAIL", {"ACH-FILE-001-TYPE-DATE"}),
+    ("direction", HEADER + "880415,606,DR,73,2023-07-19\n", "FAIL", {"ACH-FILE-001-ALLOWED-DIR"}),
+    ("lower case", HEADER + "880415,606,d,73,2023-07-19\n", "FAIL", {"ACH-FILE-001-ALLOWED-DIR"}),
+    ("merchant", HEADER + ROW + "880416,shop,C,12,2023-07-19\n", "FAIL", {"ACH-FILE-001-TYPE-MERCHANT"}),
+    ("amount zero", HEADER + "880415,606,D,0,2023-07-19\n", "FAIL", {"ACH-FILE-001-MIN-AMOUNT"}),
+    ("no merchant", HEADER + "880415,,D,73,2023-07-19\n", "PASS", set()),
+    ("no account", HEADER + " ,606,D,73,2023-07-19\n", "FAIL", {"ACH-FILE-001-NULL-ACCOUNT"}),
+    ("short", HEADER + "880415,606,X\n", "FAIL", {"ACH-FILE-001-ROW-SHORT", "ACH-FILE-001-ALLOWED-DIR"}),
     ("long", HEADER + ROW.strip() + ",more,cells\n", "PASS", set()),
     ("crlf", (HEADER + ROW).replace("\n", "\r\n"), "PASS", set()),
     ("gap", HEADER + "\n" + ROW + "\n\n", "PASS", set()),
     ("header only", HEADER, "PASS", set()),
     ("padded", HEADER.replace(",", " , ") + ROW.replace(",", "\t, "), "PASS", set()),
-    ("extra and bad row", HEADER.strip() + ",notes\n2001,3001,D,0,2025-03-10,ok\n", "FAIL",
+    ("extra and bad row", HEADER.strip() + ",notes\n2001,606,D,0,2023-07-19,ok\n", "FAIL",
      {"ACH-FILE-001-COL-EXTRA", "ACH-FILE-001-MIN-AMOUNT"}),
 ]
 
@@ -72,11 +72,11 @@ def test_numbered_lines(spark):
 
 
 def test_messages(spark):
-    frame = spark.createDataFrame([("f", HEADER + ROW + "2002,abc,C,1500,2025-03-10\n")], "file STRING, content STRING")
+    frame = spark.createDataFrame([("f", HEADER + ROW + "880416,shop,C,12,2023-07-19\n")], "file STRING, content STRING")
     row = C.check_contents(frame).first()
     assert row.row_no == 3
-    assert row.description == "merchant_id is not a valid integer in row 3: 'abc'"
-    assert (row.expected, row.actual) == ("type: INTEGER", "row 3 value: abc")
+    assert row.description == "merchant_id is not a valid integer in row 3: 'shop'"
+    assert (row.expected, row.actual) == ("type: INTEGER", "row 3 value: shop")
 
 
 def test_contract_metadata_problems(spark, tmp_path):

@@ -6,12 +6,12 @@ from attributes of the orders, so they grow with the data and hit every table as
 
 from __future__ import annotations
 
-from functools import cache, reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.model import LEDGER_DESCRIPTION, LOAD_JOB, POST_JOB, VALIDATE_JOB
+from tillstone.model import LEDGER_DESCRIPTION, LOAD_JOB, POST_JOB, STAGED_STATE, VALIDATE_JOB
 from tillstone.operators.intake import INBOUND_ORDER
 from tillstone.operators.lookups import fits_broadcast
 from tillstone.operators.posting import mark_posted, post
@@ -35,20 +35,42 @@ SOURCES = {
 EPOCH = "2024-01-01 00:00:00"
 
 
+def once(method):
+    """Build a view once per instance; the instance alone holds it."""
+
+    @wraps(method)
+    def built(self, *args):
+        key = (method.__name__, *args)
+        if key not in self.views:
+            self.views[key] = method(self, *args)
+        return self.views[key]
+
+    return built
+
+
 class Bank:
-    """Views over one data folder; every method returns a lazy frame, built once per instance."""
+    """Views over one data folder; every method returns a lazy frame, built once per instance.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    A `shared` bank serves queries over many views at once: what several views are made of is written to the shared
+    folder first, so that every supplied table is read once and every row judged once, however many views read on.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, shared: bool = False):
         self.spark = spark
         self.folder = folder
+        self.shared = shared
+        self.views: dict[tuple, object] = {}
+
+    def _kept(self, frame: DataFrame) -> DataFrame:
+        return cut_lineage(frame) if self.shared else frame
 
-    @cache
+    @once
     def source(self, name: str) -> DataFrame:
         return self.spark.read.schema(SOURCES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # -- reference tables -------------------------------------------------------------------
 
-    @cache
+    @once
     def customers(self) -> DataFrame:
         return self.source("customer").select(
             (F.col("c_custkey") + 1001).alias("customer_id"),
@@ -57,7 +79,7 @@ class Bank:
             F.lit(EPOCH).cast("timestamp").alias("created_at"),
         )
 
-    @cache
+    @once
     def accounts(self) -> DataFrame:
         """Customers of nation 7 hold no account, so their orders name an unknown one."""
         balance, segment = F.col("c_acctbal"), F.col("c_mktsegment")
@@ -73,7 +95,7 @@ class Bank:
             F.round(balance * 100).cast("int").alias("credit_limit_cents"),
         )
 
-    @cache
+    @once
     def merchants(self) -> DataFrame:
         """Suppliers of nation 15 are not registered, so rows naming them are orphans."""
         nations = self.source("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
@@ -86,14 +108,17 @@ class Bank:
 
     # -- transactions -----------------------------------------------------------------------
 
-    @cache
+    @once
     def staged(self) -> DataFrame:
         """One row per order; a batch is a month, a dataset a month and a priority."""
+        if self.shared:
+            judged = self.outcomes()
+            return judged.withColumn("status", F.lit(STAGED_STATE)).drop("error_message")
         return stage_orders(self.source("orders"))
 
-    @cache
+    @once
     def outcomes(self) -> DataFrame:
-        return self._settled(validate(self.staged(), self.accounts()))
+        return self._settled(validate(stage_orders(self.source("orders")), self.accounts()))
 
     def _settled(self, judged: DataFrame) -> DataFrame:
         """Judged rows feed the staged table, the ledger and the reject log.
@@ -101,21 +126,21 @@ class Bank:
         With accounts small enough to broadcast, judging is part of the scan and may be repeated;
         beyond that it shuffles, and is written out once.
         """
-        return judged if fits_broadcast(self.accounts()) else cut_lineage(judged)
+        return judged if fits_broadcast(self.accounts()) and not self.shared else cut_lineage(judged)
 
-    @cache
+    @once
     def staged_table(self) -> DataFrame:
         return mark_posted(self.outcomes())
 
-    @cache
+    @once
     def errors(self) -> DataFrame:
         return reject_log(self.outcomes(), F.col("batch_id") * 10 + 1)
 
-    @cache
+    @once
     def ledger(self) -> DataFrame:
         return post(self.outcomes())
 
-    @cache
+    @once
     def faulty_ledger(self) -> DataFrame:
         """The ledger after a lost day, a wrong cent on large rows and a day posted twice."""
         rows = self.outcomes().where(F.col("status") == "validated")
@@ -129,9 +154,15 @@ class Bank:
 
     # -- control tables ---------------------------------------------------------------------
 
-    @cache
+    @once
+    def _per_batch(self) -> DataFrame:
+        return self._kept(self.staged().groupBy("batch_id").agg(
+            F.count("*").alias("record_count"), F.min("txn_date").alias("first"), F.max("txn_date").alias("last")
+        ))
+
+    @once
     def batches(self) -> DataFrame:
-        return self.staged().groupBy("batch_id").agg(F.count("*").alias("record_count")).select(
+        return self._per_batch().select(
             F.col("batch_id").alias("id"),
             (F.col("batch_id") * 10).alias("batch_job_id"),
             batch_file(F.col("batch_id")).alias("file_name"),
@@ -139,12 +170,10 @@ class Bank:
             F.lit("received").alias("status"),
         )
 
-    @cache
+    @once
     def jobs(self) -> DataFrame:
         """Three jobs per month; posting is still running for the last year."""
-        per_batch = self.staged().groupBy("batch_id").agg(
-            F.count("*").alias("n"), F.min("txn_date").alias("first"), F.max("txn_date").alias("last")
-        )
+        per_batch = self._per_batch().withColumnRenamed("record_count", "n")
         running = F.col("batch_id") >= 200101
 
         def job(offset: int, name: str, status: Column, finished: Column) -> Column:
@@ -161,11 +190,11 @@ class Bank:
             job(2, POST_JOB, F.when(running, "running").otherwise(done), F.when(~running, F.col("last"))),
         )).alias("j")).select("j.*")
 
-    @cache
+    @once
     def reconciliations(self) -> DataFrame:
-        return reconcile(self.staged_table(), self.faulty_ledger())
+        return self._kept(reconcile(self.staged_table(), self.faulty_ledger()))
 
-    @cache
+    @once
     def tampered_reconciliations(self) -> DataFrame:
         """Reconciliation rows altered after the fact, month by month."""
         month = F.pmod("batch_id", F.lit(100))
@@ -179,7 +208,7 @@ class Bank:
 
     # -- baseline ---------------------------------------------------------------------------
 
-    @cache
+    @once
     def outputs(self) -> Outputs:
         """What the run left behind, with the flags of the faulty ledger's reconciliation."""
         by_dataset = [f.withColumn("batch_id", F.col("dataset_id")) for f in (self.staged_table(), self.faulty_ledger())]
@@ -194,7 +223,7 @@ class Bank:
         run = collect_outputs(*[without(f, "12") for f in (self.staged_table(), self.ledger(), self.errors())])
         return run, Outputs(*[without(f, "11") for f in self.legacy_outputs()])
 
-    @cache
+    @once
     def legacy_outcomes(self) -> DataFrame:
         """The legacy rules take lower-case codes; medium-priority amounts lose their last digit."""
         cents = F.col("amount_cents")
@@ -203,7 +232,7 @@ class Bank:
         judged = self._settled(validate(rows, self.accounts(), standard_rules(fold_direction=True)))
         return judged.withColumn("direction", F.upper("direction"))
 
-    @cache
+    @once
     def legacy_outputs(self) -> Outputs:
         judged = self.legacy_outcomes()
         ledger = post(judged).withColumn(
@@ -217,7 +246,7 @@ class Bank:
         )
         return collect_outputs(mark_posted(judged), ledger, errors)
 
-    @cache
+    @once
     def approvals(self) -> DataFrame:
         """Reviewed differences of every dataset, some signed and some not."""
         datasets = self.staged().select("dataset_id").distinct()
@@ -243,7 +272,7 @@ class Bank:
 
     # -- files and responses ----------------------------------------------------------------
 
-    @cache
+    @once
     def file_lines(self) -> DataFrame:
         """The months as delimited files (file, row_no, value), each with its own header."""
         rows = self.staged().select(
@@ -256,7 +285,7 @@ class Bank:
         )
         return heads.unionByName(rows)
 
-    @cache
+    @once
     def responses(self) -> DataFrame:
         """A response log: one entry per event, and one per conversation turn."""
         kind, value = F.col("event_type"), F.col("value")
@@ -288,7 +317,7 @@ class Bank:
 
     # -- replays ----------------------------------------------------------------------------
 
-    @cache
+    @once
     def replay_runs(self) -> DataFrame:
         """Years as scenarios, months as runs."""
         return self.staged().select("batch_id").distinct().select(
@@ -296,7 +325,7 @@ class Bank:
             F.pmod("batch_id", F.lit(100)).alias("run_number"), "batch_id",
         )
 
-    @cache
+    @once
     def expectations(self) -> DataFrame:
         """What the legacy rules would have left behind in each year."""
         judged = self.legacy_outcomes().withColumn("scenario_id", scenario_of(F.col("batch_id")))
@@ -331,7 +360,7 @@ class Bank:
             ).alias("expectedAfterBothRuns"),
         )
 
-    @cache
+    @once
     def tables(self) -> dict[str, DataFrame]:
         return {
             "customers": self.customers(),

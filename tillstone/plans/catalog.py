@@ -35,6 +35,12 @@ def query(build: Callable[[Bank], DataFrame]) -> Callable[[Bank], DataFrame]:
     return build
 
 
+def query_of_many(build: Callable[[Bank], DataFrame]) -> Callable[[Bank], DataFrame]:
+    """A query over views that are made of the same tables."""
+    QUERIES[build.__name__] = lambda spark, folder: build(Bank(spark, folder, shared=True))
+    return build
+
+
 # -- scans, intake and scalar functions ---------------------------------------------------------
 
 
@@ -169,7 +175,7 @@ def distinct_batches(bank: Bank) -> DataFrame:
     return reconciliation.batches_with_status(bank.outcomes(), "validated")
 
 
-@query
+@query_of_many
 def collector_metrics(bank: Bank) -> DataFrame:
     return bank.outputs().metrics
 
@@ -212,7 +218,7 @@ def summary_recon(bank: Bank) -> DataFrame:
     return reporting.reconciliation_summary(bank.reconciliations(), bank.batches())
 
 
-@query
+@query_of_many
 def table_counts(bank: Bank) -> DataFrame:
     return reporting.table_counts(bank.tables())
 
@@ -264,12 +270,12 @@ def list_recon(bank: Bank) -> DataFrame:
 # -- invariants and constraints -----------------------------------------------------------------
 
 
-@query
+@query_of_many
 def inv_checks(bank: Bank) -> DataFrame:
     return invariants.check_invariants(bank.tampered_reconciliations(), bank.staged_table())
 
 
-@query
+@query_of_many
 def inv_scoped(bank: Bank) -> DataFrame:
     """Only the batches of the later run are looked at."""
     scope = reconciliation.run_batches(bank.batches(), bank.jobs(), F.lit(RUN_SINCE).cast("timestamp"))
@@ -281,22 +287,22 @@ def dup_recon(bank: Bank) -> DataFrame:
     return invariants.duplicate_batches(bank.tampered_reconciliations())
 
 
-@query
+@query_of_many
 def pk_audit(bank: Bank) -> DataFrame:
     return constraints.audit(bank.tables(), kinds=["primary_key"])
 
 
-@query
+@query_of_many
 def not_null_audit(bank: Bank) -> DataFrame:
     return constraints.audit(bank.tables(), kinds=["not_null"])
 
 
-@query
+@query_of_many
 def check_audit(bank: Bank) -> DataFrame:
     return constraints.audit(bank.tables(), kinds=["check"])
 
 
-@query
+@query_of_many
 def fk_audit(bank: Bank) -> DataFrame:
     return constraints.audit(bank.tables(), kinds=["foreign_key"])
 
@@ -327,22 +333,22 @@ def document_positions(bank: Bank) -> DataFrame:
     return positional_index(rows, ["lang"], ["n_chars"], ["doc_id"])
 
 
-@query
+@query_of_many
 def field_compare(bank: Bank) -> DataFrame:
     return verification.compare_fields(*bank.compared())
 
 
-@query
+@query_of_many
 def approval_classify(bank: Bank) -> DataFrame:
     return verification.verify(*bank.compared(), bank.approvals())[0]
 
 
-@query
+@query_of_many
 def verification_rollup(bank: Bank) -> DataFrame:
     return verification.verify(*bank.compared(), bank.approvals())[1]
 
 
-@query
+@query_of_many
 def verification_report(bank: Bank) -> DataFrame:
     """The report with its findings as JSON texts, one per dataset and part."""
     classified, results = verification.verify(*bank.compared(), bank.approvals())
@@ -396,12 +402,12 @@ def _replay_inputs(bank: Bank) -> tuple[DataFrame, DataFrame, DataFrame]:
     return expected, totals, replay.run_details(bank.replay_runs(), bank.reconciliations(), expected)
 
 
-@query
+@query_of_many
 def replay_details(bank: Bank) -> DataFrame:
     return _replay_inputs(bank)[2]
 
 
-@query
+@query_of_many
 def replay_compare(bank: Bank) -> DataFrame:
     compared = replay.compare_replays(*_replay_inputs(bank))
     return compared.withColumn("mismatches", F.array_join("mismatches", " | "))
@@ -440,17 +446,17 @@ def _recorded_checks(bank: Bank) -> DataFrame:
     return rollup.record_checks(rollup.check_outcomes(checks, hits))
 
 
-@query
+@query_of_many
 def contract_checks(bank: Bank) -> DataFrame:
     return _recorded_checks(bank)
 
 
-@query
+@query_of_many
 def contract_rollup(bank: Bank) -> DataFrame:
     return rollup.contract_status(_recorded_checks(bank))
 
 
-@query
+@query_of_many
 def suite_rollup(bank: Bank) -> DataFrame:
     replays = replay.compare_replays(*_replay_inputs(bank))
     return rollup.suite_status(rollup.contract_status(_recorded_checks(bank)), replays)
