@@ -328,3 +328,22 @@ def test_neighbours_among_nearly_equal_vectors(spark):
         sim[q] = -9
         hits += len(got[q] & set(np.argsort(-sim)[:5].tolist()))
     assert hits >= 0.9 * 5 * 50
+
+
+def test_neighbours_of_any_magnitude_length_and_repeated_id(spark):
+    rows = [(0, [1e-200, 2e-200]), (1, [2e-200, 1e-200]), (50, [1.0, 2.0]), (51, [1e200, 2e200]), (100, [1.0, 0.0, 0.0]), (101, [1.0, 1.0, 0.0]),
+            (101, [0.0, 1.0, 0.0]), (150, [1.0]), (200, [5e-324, 0.0]), (200, [0.0, 1e308])]
+    table = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    want = []
+    for i, (q, x) in enumerate(rows):
+        if q % 50 == 0:
+            a = np.array(x) / np.max(np.abs(x))
+            others = []
+            for j, (c, y) in enumerate(rows):
+                if j != i and len(y) == len(x):
+                    b = np.array(y) / np.max(np.abs(y))
+                    others.append((-round(float(a @ b / np.sqrt((a @ a) * (b @ b))), 9), c))
+            want += [(q, rank, c, -s) for rank, (s, c) in enumerate(sorted(others)[:5], 1)]
+    got = [(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in neighbours.nearest(table).collect()]
+    assert sorted(r[:2] + r[3:] for r in got) == sorted(r[:2] + r[3:] for r in want) and len(got) == len(want)
+    assert {r[0] for r in got} == {0, 50, 100, 200}

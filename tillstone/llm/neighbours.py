@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -26,15 +28,13 @@ STEPS = 500
 def usable(vectors: DataFrame, vec: str = "embedding") -> DataFrame:
     """vec_id and v (array<double>) of the rows that take part.
 
-    Left out: null vectors or ids, null or non-finite components, zero vectors, and vectors whose length is not
-    the most frequent one. Of rows repeating a vec_id one takes part.
+    Left out: null vectors or ids, null or non-finite components, and zero vectors.
     """
     v = F.col(vec).cast("array<double>")
     big = F.lit(float("inf"))
     fine = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big)) & F.exists("v", lambda x: x != 0)
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False)))
-    sizes = rows.groupBy(F.size("v").alias("s")).count().orderBy(F.desc("count"), "s").first()
-    return rows.where(F.size("v") == (sizes["s"] if sizes else 0)).dropDuplicates(["vec_id"])
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v"))
+    return rows.where(F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False)))
 
 
 def _stored(vectors: DataFrame, vec: str = "embedding") -> str:
@@ -195,45 +195,66 @@ def greedy_search(queries: DataFrame, codes: DataFrame, edges: DataFrame, beam:
     raise RuntimeError(f"searches have not ended after {steps} steps")
 
 
+def _in_range(v: Column) -> Column:
+    """The vector times a power of two that keeps squares of its components within doubles; 1 for ordinary ones."""
+    most = F.array_max(F.transform(v, F.abs))
+    factor = F.when(most > 1e100, 2.0**-600).when(most < 1e-100, 2.0**600).otherwise(1.0)
+    return F.transform(v, lambda x: x * factor)
+
+
 def cosine(x: Column, y: Column) -> Column:
+    """Cosine in double precision, whatever the magnitudes."""
     def dot(a: Column, b: Column) -> Column:
         return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
 
     return dot(x, y) / (F.sqrt(dot(x, x)) * F.sqrt(dot(y, y)))
 
 
-def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found for each row whose vec_id is divisible by `every`.
-
-    Equal vectors are one node of the graph, so a vector that a third of the rows share costs one node; its
-    rows with the smallest ids come back when the node is found. Scores are cosines of the original
-    vectors in double precision, ties go to the smaller vec_id. See `usable` for the rows that take part; with
-    fewer than k candidates all are returned, an empty table gives no rows. Other columns are not read.
-    """
-    rows = cut_lineage(usable(vectors).withColumns({"a": F.xxhash64("v"), "b": F.xxhash64(F.lit(1), "v")}))
-    order = Window.partitionBy("a", "b").orderBy("vec_id")
+def _nearest(rows: DataFrame, stored: str, k: int, every: int) -> DataFrame:
+    """The result for vectors of one length; rows have row, vec_id, v and the address (a, b) of the vector."""
+    order = Window.partitionBy("a", "b").orderBy("vec_id", "row")
     # k + 1, since the query itself may be one of them.
     some = cut_lineage(
-        rows.select("vec_id", "a", "b").withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
+        rows.select("row", "vec_id", "a", "b").withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
     )
-    firsts = some.where("place = 1").select(F.col("vec_id").alias("id"), "a", "b")
-    members = some.join(firsts, ["a", "b"]).select("id", "vec_id")
-    nodes = rows.select(F.col("vec_id").alias("id"), "v").join(firsts.select("id"), "id", "left_semi")
-    stored = _stored(vectors)
+    firsts = some.where("place = 1").select(F.col("row").alias("id"), "a", "b")
+    members = some.join(firsts, ["a", "b"]).select(F.col("id").alias("node"), "vec_id", "row")
+    nodes = rows.select(F.col("row").alias("id"), "v").join(firsts.select("id"), "id", "left_semi")
     codes = cut_lineage(_codes(nodes, stored))
-    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "a", "b").join(firsts, ["a", "b"]).select("query_id", "id")
-    asked = cut_lineage(asked)
-    starts = asked.select("id").distinct()
+    queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("row").alias("query_row"), "a", "b")
+    asked = cut_lineage(queries.join(firsts, ["a", "b"]).select("query_id", "query_row", F.col("id").alias("q")))
+    starts = asked.select(F.col("q").alias("id")).distinct()
     found = greedy_search(starts, codes, build_graph(codes, stored=stored), stored=stored)
     close = found.select("q", "node").unionAll(starts.select(F.col("id").alias("q"), F.col("id").alias("node"))).distinct()
+    level = nodes.select("id", _in_range(F.col("v")).alias("v"))
     measured = cut_lineage(
-        close.join(nodes.select(F.col("id").alias("node"), F.col("v").alias("y")), "node")
-        .join(nodes.select(F.col("id").alias("q"), F.col("v").alias("x")), "q")
+        close.join(level.select(F.col("id").alias("node"), F.col("v").alias("y")), "node")
+        .join(level.select(F.col("id").alias("q"), F.col("v").alias("x")), "q")
         .select("q", "node", cosine(F.col("x"), F.col("y")).alias("score"))
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return (
-        asked.withColumnRenamed("id", "q").join(measured, "q").join(members.withColumnRenamed("id", "node"), "node")
-        .where("vec_id != query_id").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        asked.join(measured, "q").join(members, "node")
+        .where("row != query_row").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest found for each row whose vec_id is divisible by `every`.
+
+    Vectors are compared with those of their own length, each length by a graph of its own. Equal vectors are one
+    node of the graph, so a vector that a third of the rows share costs one node; its rows with the smallest
+    ids come back when the node is found. Scores are cosines of the original vectors in double precision, ties
+    go to the smaller vec_id. Rows that repeat a vec_id with another vector are rows of their own, as queries too; with the
+    same vector they are one. See `usable` for the rows
+    that take part; with fewer than k candidates all are returned, an empty table gives no rows. Other columns are not read.
+    """
+    addressed = usable(vectors).withColumns({"a": F.xxhash64("v"), "b": F.xxhash64(F.lit(1), "v")})
+    # Row numbers follow vec_id, so that smaller ids win ties among nodes too.
+    ordered = addressed.dropDuplicates(["vec_id", "a", "b"]).repartitionByRange("vec_id", "a").sortWithinPartitions("vec_id", "a")
+    rows = cut_lineage(ordered.withColumn("row", F.monotonically_increasing_id()))
+    # One entry per length that occurs.
+    lengths = sorted(r[0] for r in rows.select(F.size("v")).distinct().collect())
+    parts = [_nearest(rows.where(F.size("v") == n) if len(lengths) > 1 else rows, _stored(vectors), k, every) for n in lengths or [0]]
+    return reduce(DataFrame.unionAll, parts)
