@@ -127,3 +127,9 @@ def test_report_sections(spark):
     assert [tuple(r) for r in reporting.reject_reasons(errors).collect()] == [("b", 2), ("a", 1), ("c", 1)]
     counts = reporting.counts_in_one_row({"x": batches, "y": errors}).first()
     assert (counts.x, counts.y) == (2, 4)
+
+
+def test_a_row_without_amount_is_rejected_not_posted(spark, accounts):
+    judged = validate(staged(spark, (2001, "D", None), (2001, "D", 5)), accounts)
+    assert [(r.status, r.error_message) for r in judged.orderBy("id").collect()] == [("rejected", AMOUNT), ("validated", None)]
+    assert post(judged).count() == 1 and reject_log(judged).first().error_message == AMOUNT

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,22 @@ def run_batches(batches: DataFrame, jobs: DataFrame, since: Column) -> DataFrame
     )
 
 
+def rows_in_run(staged: DataFrame, batches: DataFrame, jobs: DataFrame, since: Column, statuses: Sequence[str]) -> DataFrame:
+    """One row: how many staged rows with one of the statuses lie in batches whose load job started in this run.
+
+    Rows are counted per batch before they meet the run's batches, so the join carries one row per batch.
+    """
+    counted = staged.where(F.col("status").isin(*statuses)).groupBy("batch_id").agg(F.count("*").alias("rows"))
+    scope = run_batches(batches, jobs, since).distinct()
+    return counted.join(scope, "batch_id", "left_semi").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"))
+
+
+def gate_run(reconciliations: DataFrame, batches: DataFrame, jobs: DataFrame, since: Column) -> DataFrame:
+    """The gate over the reconciliations of the batches whose load job started in this run."""
+    scope = run_batches(batches, jobs, since).distinct()
+    return gate(reconciliations.join(scope, "batch_id", "left_semi"))
+
+
 def batches_with_status(staged: DataFrame, status: str) -> DataFrame:
     """The distinct batches that hold rows of a status."""
     return having_rows(staged, F.col("status") == status, "batch_id")

@@ -157,6 +157,26 @@ def recon_gate(bank: Bank) -> DataFrame:
     return reconciliation.gate(bank.reconciliations())
 
 
+@query_of_many
+def run_row_counts(bank: Bank) -> DataFrame:
+    """Judged and posted rows of the later run, found through its batches and their load jobs."""
+    since = F.lit(RUN_SINCE).cast("timestamp")
+
+    def count(name: str, *statuses: str) -> DataFrame:
+        return reconciliation.rows_in_run(bank.staged_table(), bank.batches(), bank.jobs(), since, statuses).select(
+            F.lit(name).alias("counter"), "row_count"
+        )
+
+    return count("validated", "posted", "rejected").unionByName(count("posted", "posted"))
+
+
+@query_of_many
+def recon_gate_run(bank: Bank) -> DataFrame:
+    """The gate of the later run alone, over altered reconciliation rows."""
+    since = F.lit(RUN_SINCE).cast("timestamp")
+    return reconciliation.gate_run(bank.tampered_reconciliations(), bank.batches(), bank.jobs(), since)
+
+
 @query
 def recon_failures(bank: Bank) -> DataFrame:
     return reconciliation.mismatched(bank.reconciliations())

@@ -635,6 +635,14 @@ SELECTS: dict[str, str] = {
         WHERE j.job_name = 'load_transactions' AND j.started_at >= TIMESTAMP '{RUN_SINCE}'""",
     "recon_gate": """SELECT count(*) AS failed_batches, count(*) = 0 AS may_pass FROM b_recon
         WHERE NOT counts_match OR NOT totals_match""",
+    "run_row_counts": f"""SELECT counter, count(t.id) AS row_count
+        FROM (VALUES ('validated', 'posted'), ('validated', 'rejected'), ('posted', 'posted')) c(counter, status)
+        LEFT JOIN (SELECT t.* FROM b_table t JOIN b_batches b ON b.id = t.batch_id JOIN b_jobs j ON j.id = b.batch_job_id
+              WHERE j.job_name = 'load_transactions' AND j.started_at >= TIMESTAMP '{RUN_SINCE}') t USING (status) GROUP BY 1""",
+    "recon_gate_run": f"""SELECT count(*) AS failed_batches, count(*) = 0 AS may_pass FROM b_tampered r
+        JOIN b_batches b ON b.id = r.batch_id JOIN b_jobs j ON j.id = b.batch_job_id
+        WHERE j.job_name = 'load_transactions' AND j.started_at >= TIMESTAMP '{RUN_SINCE}'
+          AND (NOT counts_match OR NOT totals_match)""",
     "recon_failures": "SELECT * FROM b_recon WHERE NOT counts_match OR NOT totals_match",
     "exists_semi": """SELECT id AS batch_id, file_name FROM b_batches b
         WHERE EXISTS (SELECT 1 FROM b_table t WHERE t.batch_id = b.id AND t.status = 'posted')""",
