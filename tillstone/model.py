@@ -36,7 +36,7 @@ STAGE_RUNS = (
 )
 BASELINE = (
     "datasetId STRING, description STRING, stagedCount INT, postedCount INT, rejectedCount INT, "
-    "errorCount INT, totalPostedCents BIGINT, "
+    "errorCount INT, totalPostedCents BIGINT, part INT, "
     "reconciliation STRUCT<countsMatch: BOOLEAN, totalsMatch: BOOLEAN>, "
     "transactions ARRAY<STRUCT<accountId: INT, merchantId: INT, direction: STRING, amountCents: BIGINT, "
     "description: STRING>>, "

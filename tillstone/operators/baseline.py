@@ -16,6 +16,8 @@ KEY = "dataset_id"
 TRANSACTIONS, ERRORS = "transactions", "errors"
 # Findings in one part of a dataset's report; a dataset with more gets several numbered parts.
 PART_FINDINGS = 1000
+# Rows of a list in one baseline document.
+PART_ROWS = 100_000
 
 # Compared fields and the columns behind them, in report order.
 SCALAR_FIELDS = [
@@ -29,8 +31,9 @@ TRANSACTION_FIELDS = [("direction", "direction"), ("amountCents", "amount_cents"
 
 
 def baseline_outputs(documents: DataFrame) -> Outputs:
-    """Baseline documents in the shape of collected outputs."""
-    metrics = documents.select(
+    """Baseline documents in the shape of collected outputs; the first part of a dataset has its figures."""
+    documents = documents.withColumn("part", F.coalesce("part", F.lit(0))) if "part" in documents.columns else documents.withColumn("part", F.lit(0))
+    metrics = documents.where("part = 0").select(
         F.col("datasetId").alias(KEY),
         F.col("description").alias("dataset_description"),
         F.col("stagedCount").cast("bigint").alias("staged_count"),
@@ -41,14 +44,15 @@ def baseline_outputs(documents: DataFrame) -> Outputs:
         F.col("reconciliation.countsMatch").alias("counts_match"),
         F.col("reconciliation.totalsMatch").alias("totals_match"),
     )
-    transactions = documents.select(F.col("datasetId").alias(KEY), F.posexplode("transactions").alias("at", "t")).select(
+    place = F.concat(F.lpad(F.col("part").cast("string"), 10, "0"), F.lit("-"), F.lpad(F.col("at").cast("string"), 10, "0"))
+    transactions = documents.select(F.col("datasetId").alias(KEY), "part", F.posexplode("transactions").alias("at", "t")).select(
         KEY,
         F.col("t.accountId").alias("account_id"),
         F.col("t.merchantId").alias("merchant_id"),
         F.col("t.direction").alias("direction"),
         F.col("t.amountCents").alias("amount_cents"),
         F.col("t.description").alias("description"),
-        F.lpad(F.col("at").cast("string"), 10, "0").alias("ref"),
+        place.alias("ref"),
     )
     errors = documents.select(F.col("datasetId").alias(KEY), F.explode("errors").alias("e")).select(
         KEY, F.col("e.errorMessage").alias("error_message"), F.col("e.recordRef").alias("record_ref")
@@ -56,6 +60,34 @@ def baseline_outputs(documents: DataFrame) -> Outputs:
     return Outputs(metrics, transactions, errors)
 
 
+def baseline_documents(outputs: Outputs, part_rows: int = PART_ROWS) -> DataFrame:
+    """Collected outputs as baseline documents: figures, transactions and errors of a dataset nested in one row.
+
+    A dataset whose lists are longer than `part_rows` becomes several documents with parts numbered from 0, of which the
+    first has the figures, so no list outgrows a task. Transactions are in the order of their references.
+    """
+    def nested(rows: DataFrame, order: list[str], name: str, entry: Column) -> DataFrame:
+        numbered = positional_index(rows, [KEY], order)
+        listed = F.array_sort(F.collect_list(F.struct("idx", entry.alias("entry"))))
+        part = F.floor(F.col("idx") / part_rows).cast("int").alias("part")
+        return numbered.groupBy(KEY, part).agg(F.transform(listed, lambda x: x["entry"]).alias(name))
+
+    transaction = F.struct(
+        F.col("account_id").alias("accountId"), F.col("merchant_id").alias("merchantId"), "direction",
+        F.col("amount_cents").alias("amountCents"), "description",
+    )
+    error = F.struct(F.col("error_message").alias("errorMessage"), F.col("record_ref").alias("recordRef"))
+    figures = outputs.metrics.select(
+        KEY, F.lit(0).alias("part"), F.col("staged_count").alias("stagedCount"), F.col("posted_count").alias("postedCount"),
+        F.col("rejected_count").alias("rejectedCount"), F.col("error_count").alias("errorCount"),
+        F.col("total_posted_cents").alias("totalPostedCents"),
+        F.struct(F.col("counts_match").alias("countsMatch"), F.col("totals_match").alias("totalsMatch")).alias("reconciliation"),
+    )
+    parts = figures.join(nested(outputs.transactions, ["ref"], "transactions", transaction), [KEY, "part"], "full")
+    parts = parts.join(nested(outputs.errors, ["record_ref", "error_message"], "errors", error), [KEY, "part"], "full")
+    return parts.withColumnRenamed(KEY, "datasetId")
+
+
 def normalize_transactions(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"direction": squeeze(F.col("direction")), "description": squeeze(F.col("description"))})
 

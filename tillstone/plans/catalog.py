@@ -17,6 +17,8 @@ from tillstone.operators.ranking import positional_index
 from tillstone.operators.validation import accepted, hold_failed_batches, reject_counts
 from tillstone.plans import file_path
 from tillstone.plans.bank import Bank, batch_file, scenario_of
+from tillstone.session import scratch_path
+from tillstone.sources.documents import read_approvals, read_baselines
 from tillstone.sources.tables import as_json, latest_status, scoped
 from tillstone.streaming.intake_stream import intake_orders
 
@@ -27,6 +29,7 @@ QUERIES: dict[str, Query] = {}
 TIGHT_LIMIT = 45
 REPORT_METADATA = {"commit": "unversioned", "environment": "supplied orders"}
 REPORT_PART = 5
+DOCUMENT_ROWS = 10
 RUN_SINCE = "1998-01-01 00:00:00"
 
 
@@ -363,6 +366,17 @@ def approval_classify(bank: Bank) -> DataFrame:
     return verification.verify(*bank.compared(), bank.approvals())[0]
 
 
+@query_of_many
+def classify_from_documents(bank: Bank) -> DataFrame:
+    """The same findings with the baselines written as JSON documents in parts and approvals as JSON lines, both read back."""
+    run, legacy = bank.compared()
+    folder = scratch_path(bank.spark, "documents")
+    verification.baseline_documents(legacy, DOCUMENT_ROWS).write.json(f"{folder}/baselines")
+    bank.approvals().write.json(f"{folder}/approvals")
+    golden = verification.baseline_outputs(read_baselines(bank.spark, f"{folder}/baselines", lines=True))
+    return verification.verify(run, golden, read_approvals(bank.spark, f"{folder}/approvals"))[0]
+
+
 @query_of_many
 def verification_rollup(bank: Bank) -> DataFrame:
     return verification.verify(*bank.compared(), bank.approvals())[1]

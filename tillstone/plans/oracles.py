@@ -695,6 +695,7 @@ SELECTS: dict[str, str] = {
         row_number() OVER (PARTITION BY lang ORDER BY n_chars, doc_id) - 1 AS idx FROM documents""",
     "field_compare": "SELECT * FROM b_compared",
     "approval_classify": "SELECT * FROM b_classified",
+    "classify_from_documents": "SELECT * FROM b_classified",
     "verification_rollup": "SELECT * FROM b_results",
     "verification_report": _JSON,
     "file_contract_rows": "SELECT * FROM b_file_findings",

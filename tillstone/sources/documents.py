@@ -13,11 +13,11 @@ from tillstone.model import APPROVALS, BASELINE, EXPECTATION, RESPONSE_CONTRACT
 _BROKEN = "_broken"
 
 
-def _read_json(spark: SparkSession, paths, schema) -> DataFrame:
-    """Read one JSON document per file; a missing or broken file is an error."""
+def _read_json(spark: SparkSession, paths, schema, lines: bool = False) -> DataFrame:
+    """Read one JSON document per file, or one per line; a missing file or a broken document is an error."""
     frame = (
         spark.read.schema(schema)
-        .option("multiLine", True)
+        .option("multiLine", not lines)
         .option("mode", "FAILFAST")
         .json(paths if isinstance(paths, str) else list(paths))
     )
@@ -56,8 +56,12 @@ def scenarios_of(contracts: DataFrame) -> DataFrame:
     )
 
 
-def read_baselines(spark: SparkSession, paths) -> DataFrame:
-    return _read_json(spark, paths, BASELINE)
+def read_baselines(spark: SparkSession, paths, lines: bool = False) -> DataFrame:
+    """Baseline documents; with `lines`, one per line, so that large folders are split over tasks.
+
+    A dataset may come in several documents with numbered parts, see `baseline.baseline_documents`.
+    """
+    return _read_json(spark, paths, BASELINE, lines)
 
 
 def read_approvals(spark: SparkSession, path: str) -> DataFrame:
