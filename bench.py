@@ -8,14 +8,14 @@ import sys
 import time
 
 from tillstone.plans.catalog import QUERIES
-from tillstone.session import build_session
+from tillstone.session import build_session, drop_scratch
 
 HEADLINE = [
     "staged_scan", "normalize_text", "validate_rules", "reject_split", "reject_limit", "held_batches", "post_ledger",
     "status_merge", "reconcile_batches", "reconcile_run", "recon_gate", "collector_metrics", "summary_jobs",
     "summary_files", "summary_totals", "summary_reject_reasons", "summary_recon", "table_counts",
     "txn_enriched_top20", "inv_checks", "pk_audit", "not_null_audit", "check_audit", "fk_audit", "ledger_positions",
-    "field_compare", "approval_classify", "verification_rollup", "file_contract_rows", "file_contract_documents",
+    "field_compare", "approval_classify", "verification_rollup", "verification_report", "classify_from_documents", "stored_year", "file_contract_rows", "file_contract_documents",
     "response_conformance", "replay_compare", "run_isolation", "incremental_intake", "suite_rollup",
 ]
 
@@ -39,6 +39,7 @@ def main() -> None:
         started = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - started, 3)
+        drop_scratch(spark)
     spark.stop()
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     print(json.dumps({
