@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -32,23 +33,56 @@ def test_empty_tables_give_no_rows(no_docs, name):
     assert OPS[name](no_docs).collect() == []
 
 
-def test_exact_groups(odd_docs):
+def brute_groups(docs):
     blank = re.compile(r"[\x20\x09-\x0D]")
     groups = collections.defaultdict(list)
-    for i, t in rows_of(odd_docs):
+    for i, t in rows_of(docs):
         groups[blank.sub("", t)].append((-len(t), i is None, i))
-    want = sorted(
+    return sorted(
         (str(i), str(min(g)[2]), len(g), i == min(g)[2], hashlib.sha256(b.encode()).hexdigest()) for b, g in groups.items() for _, _, i in g
     )
-    got = exact_dedup.exact_groups(odd_docs)
-    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept, r.text_sha256) for r in got.collect()) == want
 
 
-def test_directory_doubles_until_buckets_fit(spark):
+def top_bits(bits):
+    """A hash key of so many bits, so that different texts collide."""
+    return lambda body: F.shiftleft(F.shiftrightunsigned(F.xxhash64(body), 64 - bits), 64 - bits) if bits else F.lit(0).cast("bigint")
+
+
+@pytest.mark.parametrize("capacity, key_of", [(exact_dedup.BUCKET_ROWS, F.xxhash64), (1, F.xxhash64), (2, top_bits(2)), (3, top_bits(0)), (100, top_bits(0))])
+def test_exact_groups(odd_docs, capacity, key_of):
+    got = exact_dedup.exact_groups(odd_docs, capacity, key_of)
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept, r.text_sha256) for r in got.collect()) == brute_groups(odd_docs)
+
+
+def test_only_overfull_buckets_split(spark):
+    # Half of the keys begin with three zero bits, the others are spread.
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 300).alias("text"))
-    index = exact_dedup.build_index(docs, capacity=20)
-    assert index.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 20
-    assert index.count() == 300 and index.agg(F.max("chain")).first()[0] == 0
+    crowd = lambda body: F.when(F.xxhash64(body) % 2 == 0, F.shiftrightunsigned(F.xxhash64(body), 3)).otherwise(F.xxhash64(body))
+    index = exact_dedup.build_index(docs, 20, crowd).collect()
+    assert len(index) == 300 and sum(r.group_size for r in index) == 500
+    load = collections.Counter()
+    for r in index:
+        load[r.bucket, r.depth] += r.group_size
+        assert 0 <= r.chain < 1
+    depths = {d for _, d in load}
+    assert max(load.values()) <= 20 and len(load) == len({b for b, _ in load}) and len(depths) > 2
+    # A bucket is a range of keys, and its parent would have been overfull.
+    deepest = max(depths)
+    prefixes = collections.Counter()
+    for r in index:
+        top = (r.key % (1 << 64)) >> (64 - deepest)
+        assert top >> (deepest - r.depth) == r.bucket >> (deepest - r.depth)
+        for d in range(deepest + 1):
+            prefixes[d, top >> (deepest - d)] += r.group_size
+    assert all(d == 0 or prefixes[d - 1, b >> (deepest - d + 1)] > 20 for b, d in load)
+
+
+def test_texts_under_one_key_form_a_chain(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 7}") for i in range(40)], "doc_id BIGINT, text STRING")
+    for capacity in (1, 1000):
+        index = exact_dedup.build_index(docs, capacity, top_bits(0)).collect()
+        assert sorted(r.chain for r in index) == list(range(7)) and {(r.bucket, r.depth) for r in index} == {(0, 0)}
+        assert sorted(r.keep_id for r in index) == list(range(7))
 
 
 def test_counts_and_ids_are_those_of_the_library(odd_docs):
@@ -201,6 +235,36 @@ def test_ledger_scans_only_unseen_pairs(spark, odd_docs):
     assert again.count() == versions.select("blob").distinct().count()
 
 
+def test_a_second_run_scans_new_blobs_only(spark, odd_docs, tmp_path):
+    path = str(tmp_path / "ledger")
+
+    def run(docs):
+        found = secrets.scan_secrets(docs, ["doc_id", "text"], path)
+        for r in found.collect():
+            assert [(s["start"], s["end"], s["kind"]) for s in r.spans] == brute_spans(r.text or "")
+        return spark.read.parquet(path).count()
+
+    blobs = secrets.address(odd_docs).select("blob").distinct().count()
+    assert run(odd_docs) == 3 * blobs
+    assert run(odd_docs) == 3 * blobs
+    more = spark.createDataFrame([(900, "secret=brandnewvalue"), (901, "secret=brandnewvalue"), (902, "one two three")], "doc_id BIGINT, text STRING")
+    assert run(odd_docs.select("doc_id", "text").unionByName(more)) == 3 * (blobs + 1)
+    # What the ledger says is taken, not found again.
+    address = secrets.address(more).first().blob
+    spark.createDataFrame([(address, "hex", 1, [(1, 2)])], secrets.LEDGER_SCHEMA).write.mode("append").parquet(path)
+    assert {len(r.spans) for r in secrets.scan_secrets(more, ["doc_id"], path).where("doc_id < 902").collect()} == {2}
+
+
+def test_many_findings_in_one_text(spark):
+    text = "".join(f"token={i:08d}é " for i in range(40_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id BIGINT, text STRING")
+    begun = time.monotonic()
+    r = secrets.scan_secrets(docs, ["doc_id", "text"]).select("spans", secrets.mask(F.col("text"), F.col("spans")).alias("m")).first()
+    assert time.monotonic() - begun < 30
+    assert [(s["start"], s["end"], s["kind"]) for s in r.spans] == brute_spans(text)
+    assert r.m == "*" * 14 + ("é " + "*" * 14) * 39_999 + "é "
+
+
 def test_masked_texts_hold_no_finding(odd_docs):
     found = secrets.scan_secrets(odd_docs, ["doc_id", "text"]).where(F.size("spans") > 0)
     masked = found.select("doc_id", "text", secrets.mask(F.col("text"), F.col("spans")).alias("m"))

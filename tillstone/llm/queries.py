@@ -99,6 +99,20 @@ words AS (
   WHERE lower_words[i] <> '')
 """
 
+_SECRETS = (
+    ("assign", 1, r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"""
+     r"""[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    ("access", 2, "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", 3, "[0-9a-f]+", 0, 32),
+)
+_SECRET_CELLS = " UNION ALL ".join(
+    f"""SELECT rid, {order} AS rank, '{kind}' AS kind, {least} AS least, unnest(generate_series(1, len(gaps))) AS i, unnest(gaps) AS gap,
+    unnest(list_concat(hits, [''])) AS hit, unnest(list_concat(parts, [''])) AS part
+    FROM (SELECT rid, string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS hits,
+      regexp_extract_all(text, '{pattern}', {group}) AS parts FROM docs WHERE regexp_matches(text, '{pattern}'))"""
+    for kind, order, pattern, group, least in _SECRETS
+)
+
 ORACLES: dict[str, str] = {
     "op1_lm_scoring": f"""
 WITH {_WORDS},
@@ -152,6 +166,19 @@ reach AS (
   SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id, d.doc_id = min(reach.b) AS kept
 FROM documents d JOIN reach ON reach.a = d.doc_id LEFT JOIN counted c ON c.doc_id = d.doc_id GROUP BY d.doc_id, n
+""",
+    "op7_secrets": f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+cells AS ({_SECRET_CELLS}),
+placed AS (
+  SELECT rid, rank, kind, length(hit) AS hit, length(part) >= least AS ok,
+    sum(length(gap) + length(hit)) OVER (PARTITION BY rid, rank ORDER BY i ROWS UNBOUNDED PRECEDING) AS till FROM cells),
+spans AS (
+  SELECT rid, count(*) FILTER (rank = 1) AS n_assign, count(*) FILTER (rank = 2) AS n_access, count(*) FILTER (rank = 3) AS n_hex,
+    string_agg(kind || ':' || CAST(till - hit AS BIGINT) || ':' || CAST(till AS BIGINT), ',' ORDER BY till - hit, rank) AS spans
+  FROM placed WHERE ok AND hit > 0 GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN spans USING (rid)
 """,
     "op12_collocations": r"""
 WITH pieces AS (
