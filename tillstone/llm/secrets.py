@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillstone.llm.textkit import text_or_empty
-from tillstone.session import cut_lineage, shared_dir
+from tillstone.session import cut_lineage, scratch_path
 
 # What was counted to take at most this much in memory is broadcast; an address and a span there take about so much.
 BROADCAST_BYTES = 64 << 20
@@ -138,15 +138,16 @@ def open_ledger(spark: SparkSession, path: str) -> DataFrame:
 def scan_secrets(docs: DataFrame, carry: list[str], ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Findings of every row; rows sharing a text share one scan. Repeated rows each get their findings.
 
-    `ledger` is the path of the ledger table in the shared folder, by default `secret-ledger` there. It is read before the
+    `ledger` is the path of a ledger table in the shared folder that is kept between runs. It is read before the
     scan, the pairs of blob and rule version it lacks are scanned and appended, and all findings are taken from it. A
-    run that ends before its append is committed leaves the ledger as it was.
+    run that ends before its append is committed leaves the ledger as it was. Without a path the run has a new
+    ledger of its own there and scans every blob.
 
     Null or empty texts have none. An empty table gives no rows. Carried columns named `blob` or `spans`
     are not allowed; other columns are not read.
     """
     spark = docs.sparkSession
-    path = ledger or f"{shared_dir(spark)}/secret-ledger"
+    path = ledger or scratch_path(spark, "secret-ledger")
     versions = address(docs.select(*dict.fromkeys([*carry, "text"])))
     scan_unseen(versions, open_ledger(spark, path), rules).write.mode("append").parquet(path)
     return findings(versions, spark.read.schema(LEDGER_SCHEMA).parquet(path), carry, rules)
