@@ -205,6 +205,16 @@ def test_near_groups_of_many_copies(spark, monkeypatch, small):
     check_near(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"))
 
 
+def test_table_keys_of_few_sets_a_task(spark, monkeypatch):
+    """Sets that come in one partition make their keys in tasks of about SETS_A_TASK sets each, not in one."""
+    monkeypatch.setattr(near_dedup, "SETS_A_TASK", 10, raising=False)
+    docs = spark.createDataFrame([(i, f"text number {i} of some words {i % 7}") for i in range(50)], "doc_id BIGINT, text STRING")
+    heads = near_dedup.signatures(docs).select(F.col("doc_id").alias("sid"), "n", "side_a", "side_b").coalesce(1)
+    keys = near_dedup.table_keys(heads)
+    counts = keys.rdd.glom().map(len).collect()
+    assert sum(counts) == 50 * near_dedup.SIDE**2 and max(counts) <= 2 * 10 * near_dedup.SIDE**2
+
+
 def brute_spans(text):
     found = []
     assign = re.compile("(?:(?ai:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
