@@ -8,12 +8,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from pyspark.sql import functions as F
 from tillstone.llm import bpe, exact_dedup, lm_scoring, near_dedup, neighbours, packing, quality, queries, secrets, sharding
-from tillstone.llm import token_counts
+from tillstone.llm import textkit, token_counts
 
 BYTE, WORD = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
 OPS = {
@@ -215,6 +216,48 @@ def test_table_keys_of_few_sets_a_task(spark, monkeypatch):
     assert sum(counts) == 50 * near_dedup.SIDE**2 and max(counts) <= 2 * 10 * near_dedup.SIDE**2
 
 
+@pytest.mark.parametrize("hot, block, a_range", [(64, 4_000, 1_000_000), (2, 10, 500), (1, 7, 1_000_000)])
+def test_crowded_keys(spark, monkeypatch, hot, block, a_range):
+    """Keys sent as bytes to the owners of ranges: the members and sizes of all keys of two or more sets, hot ones too."""
+    monkeypatch.setattr(near_dedup, "HOT_IN_BLOCK", hot, raising=False)
+    monkeypatch.setattr(near_dedup, "SETS_A_BLOCK", block, raising=False)
+    monkeypatch.setattr(near_dedup, "KEYS_A_RANGE", a_range, raising=False)
+    words = [f"w{j}" for j in range(60)]
+    rows = [(-i if i % 2 else i, " ".join(words[: 60 - i % 3] if i < 30 else [f"x{i}", *words[:40]])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    heads = near_dedup.signatures(docs).withColumnRenamed("doc_id", "sid").localCheckpoint()
+    members = collections.defaultdict(list)
+    for r in near_dedup.table_keys(heads).collect():
+        members[r.bucket].append(r.sid)
+    want = sorted((b, i, len(ids)) for b, ids in members.items() if len(ids) > 1 for i in ids)
+    assert sorted((r.bucket, r.sid, r.crowd) for r in near_dedup.crowded_keys(heads).collect()) == want and want
+    none = near_dedup.crowded_keys(heads.where("n < 0"))
+    assert none.count() == 0
+
+
+def test_shingle_runs_are_the_sets():
+    """Sets of many texts made at once equal those made one by one, in long, short and empty texts."""
+    rng = np.random.RandomState(3)
+    texts = [" ".join(f"w{j}" for j in rng.randint(0, 9, n)) for n in (0, 1, 2, 0, 3, 4, 50, 5, 400, 0, 2)]
+    for width in (1, 3, 5):
+        for some in (texts, texts[:1], texts[1:3], []):
+            flat, counts = textkit.shingle_runs(some, width)
+            sets = np.split(flat, np.cumsum(counts)[:-1]) if some else []
+            assert [x.tolist() for x in sets] == [textkit.shingles_of(w, width).tolist() for w in textkit.words_of(some)]
+
+
+def test_shared_counts_of_sets():
+    rng = np.random.RandomState(5)
+    x, y = ([np.unique(rng.randint(0, 40, rng.randint(0, 30))) for _ in range(50)] for _ in range(2))
+    x[3] = y[3] = np.zeros(0, np.int64)
+    x[-1] = y[-1] = x[0] = np.arange(4)
+    columns = [pa.array(v, pa.list_(pa.int64())) for v in (x, y)]
+    want = [len(np.intersect1d(a, b)) for a, b in zip(x, y)]
+    assert near_dedup._shared(*columns).tolist() == want
+    assert near_dedup._shared(*(c.slice(9, 20) for c in columns)).tolist() == want[9:29]
+    assert near_dedup._shared(*(c.slice(0, 0) for c in columns)).tolist() == []
+
+
 def brute_spans(text):
     found = []
     assign = re.compile("(?:(?ai:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
