@@ -399,6 +399,30 @@ def test_neighbours(spark):
     assert neighbours.nearest(table.where("vec_id < 0")).collect() == []
 
 
+def test_neighbours_over_many_parts(spark, monkeypatch):
+    """Nodes dealt over many owners, whose mail goes as bytes: the graph and the searches are as exact as with one."""
+    monkeypatch.setattr(neighbours, "NODES_A_PART", 40, raising=False)
+    monkeypatch.setattr(neighbours, "MAIL_ROWS", 3, raising=False)
+    v = np.random.RandomState(9).randn(300, 8)
+    table = spark.createDataFrame([(i - 100, x.tolist()) for i, x in enumerate(v)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    codes = neighbours._codes(table.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))).localCheckpoint()
+    assert neighbours._parts(codes.count()) == 8
+    edges = neighbours.build_graph(codes, 16, 8).collect()
+    assert collections.Counter(r.id for r in edges) == {i - 100: 16 for i in range(300)}
+    assert len({(r.id, r.near) for r in edges}) == len(edges) and all(abs(r.sim - unit[r.id + 100] @ unit[r.near + 100]) < 1e-9 for r in edges)
+    want = [(q, rank, int(i) - 100) for q in (-100, -50, 0, 50, 100, 150) for rank, i in enumerate(np.argsort(-(unit @ unit[q + 100]))[1:6], 1)]
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in neighbours.nearest(table).collect())
+    assert len(set(got) & set(want)) >= 0.9 * len(want) and len(got) == len(want)
+
+
+def test_best_of_each_owner():
+    owner, item = np.array([7, 3, 7, 7, 3, 7]), np.array([2, 5, 1, 2, 4, 9])
+    got = neighbours._best(owner, item, np.array([0.5, 0.1, 0.5, 0.4, 0.9, 0.2]), np.array([1, 1, 1, 0, 0, 1], np.uint8), 2)
+    assert [x.tolist() for x in got] == [[3, 3, 7, 7], [4, 5, 1, 2], [0.9, 0.1, 0.5, 0.5], [0, 1, 1, 0]]
+    assert [len(x) for x in neighbours._best(*(x[:0] for x in (owner, item, owner.astype(float), owner.astype(np.uint8))), 2)] == [0] * 4
+
+
 def test_quality_against_held_out_labels(spark):
     folder = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
